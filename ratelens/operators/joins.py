@@ -83,30 +83,36 @@ def join_by_name(per_key: DataFrame, spellings: DataFrame) -> DataFrame:
     )
 
 
-def key_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
-    """One row: distinct keys in both tables, in the left and in the right one. Nulls do not count.
+def _keys_by_side(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """Each non-null key once as ``clave``, with whether it occurs left and right.
 
-    Both key columns go through one aggregation; nothing is joined.
+    Both key columns go through one aggregation; nothing is joined. A join, or ``intersect``,
+    would move all rows of a key that fills a third of a table; here they are combined before
+    the shuffle.
     """
     def tagged(df: DataFrame, key: str, side: str) -> DataFrame:
         return df.where(ref(key).isNotNull()).select(
-            ref(key).alias("k"), *[F.lit(int(side == s)).alias(s) for s in ("l", "r")])
-
-    keys = tagged(left, left_key, "l").unionByName(tagged(right, right_key, "r"))
-    per_key = keys.groupBy("k").agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    return per_key.agg(
-        F.count_if((F.col("l") == 1) & (F.col("r") == 1)).alias("n_comunes"),
-        F.count_if(F.col("l") == 1).alias("n_izquierda"),
-        F.count_if(F.col("r") == 1).alias("n_derecha"),
+            ref(key).alias("clave"), *[F.lit(side == s).alias(s) for s in ("_left", "_right")])
+
+    keys = tagged(left, left_key, "_left").unionByName(tagged(right, right_key, "_right"))
+    return keys.groupBy("clave").agg(
+        F.bool_or("_left").alias("_left"), F.bool_or("_right").alias("_right"))
+
+
+def key_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """One row: distinct keys in both tables, in the left and in the right one. Nulls do not count.
+    """
+    return _keys_by_side(left, left_key, right, right_key).agg(
+        F.count_if(F.col("_left") & F.col("_right")).alias("n_comunes"),
+        F.count_if("_left").alias("n_izquierda"),
+        F.count_if("_right").alias("n_derecha"),
     )
 
 
 def common_keys(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
     """The distinct non-null keys that occur in both tables."""
-    return (
-        left.select(ref(left_key).alias("clave")).dropna()
-        .intersect(right.select(ref(right_key).alias("clave")).dropna())
-    )
+    keys = _keys_by_side(left, left_key, right, right_key)
+    return keys.where(F.col("_left") & F.col("_right")).select("clave")
 
 
 def require_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> None:

@@ -36,8 +36,10 @@ def star_totals(ratings: DataFrame, *keys: Column | str) -> DataFrame:
 
 def mean_of_totals(weight: Column | None = None) -> Column:
     """Mean of all stars behind several ``star_totals`` rows, each taken ``weight`` times."""
-    weight = F.lit(1) if weight is None else weight
-    return F.try_divide(F.sum(F.col("star_sum") * weight), F.sum(F.col("star_n") * weight))
+    total, n = F.col("star_sum"), F.col("star_n")
+    if weight is not None:
+        total, n = total * weight, n * weight
+    return F.try_divide(F.sum(total), F.sum(n))
 
 
 def vehicle_ratings(ratings: DataFrame, rated_only: bool = False) -> DataFrame:

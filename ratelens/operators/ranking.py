@@ -90,14 +90,15 @@ def rank_of(scores: DataFrame, key: str, wanted: str, measures: Sequence[str]) -
     unknown id gives no row. Two aggregations, no sort: numbering all rows in order would send
     the whole table through one task.
     """
-    mine = scores.where(same_text(ref(key), wanted))
+    best = scores.where(same_text(ref(key), wanted)).agg(F.struct(
+        F.count(F.lit(1)).alias("_rows"), *[F.max(ref(m)).alias(m) for m in measures])).scalar()
     places = []
     for m in measures:
-        value = mine.agg(F.max(ref(m))).scalar()
+        value = best.getField(m)
         above = F.when(value.isNull(), F.count(ref(m))).otherwise(F.count_if(ref(m) > value))
         places.append((F.lit(1) + above).alias(f"rank_{m}"))
     return (
         scores.agg(*places, F.count(F.lit(1)).alias("n_total"))
-        .where(mine.exists())
+        .where(best.getField("_rows") > 0)
         .select(F.lit(wanted).alias(key), "*")
     )

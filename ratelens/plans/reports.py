@@ -120,11 +120,12 @@ def sampled_catalogue(autos: DataFrame, ratings: DataFrame, key: str, fraction:
 
     ``autos`` has the key, ``Model``, ``Year`` and ``Status``; ``ratings`` has ``id_vehiculo``
     and ``calificacion``. The sample holds at most ``at_most`` rows, which makes it safe to
-    broadcast: ratings of other vehicles are dropped before anything is shuffled.
+    broadcast: ratings of other vehicles are dropped before anything is shuffled. The sample is
+    stored, so the catalogue is read once.
     """
-    drawn = hash_sample(project(autos, {
+    drawn = joins.stored(hash_sample(project(autos, {
         "id_vehiculo": key, "vehiculo": "Model", "anio": "Year", "estado": "Status",
-    }), ["id_vehiculo"], fraction, seed, at_most)
+    }), ["id_vehiculo"], fraction, seed, at_most), "sample")
     wanted = F.broadcast(drawn.select("id_vehiculo").distinct())
     scores = metrics.vehicle_ratings(ratings.join(wanted, "id_vehiculo", "left_semi"))
     # The scores hold one row for each drawn id at most, so they are as small as the sample.

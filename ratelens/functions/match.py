@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
 
-from ratelens.functions.convert import text
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from ratelens.functions.convert import ref, text
 
 
 def contains(value: Column, query: str, literal: bool = False) -> Column:
@@ -23,9 +25,17 @@ def search(df: DataFrame, column: Column, query: str | None, literal: bool = Fal
     return df.where(contains(column, wanted, literal)) if wanted else df
 
 
-def same_text(value: Column, wanted: str) -> Column:
-    """Exact lookup on the text form of a value."""
-    return text(value) == F.lit(wanted)
+def same_text(df: DataFrame, name: str, wanted: str) -> Column:
+    """Exact lookup on the text form of a column.
+
+    On an integer column it is a comparison of numbers, which Parquet can answer from its
+    statistics; no number has the text '07' or 'x', so such a lookup finds nothing.
+    """
+    if not isinstance(df.schema[name].dataType, T.IntegralType):
+        return text(ref(name)) == F.lit(wanted)
+    if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", wanted):
+        return ref(name) == F.lit(int(wanted))
+    return F.lit(False)
 
 
 def both_present(left: Column, right: Column) -> Column:

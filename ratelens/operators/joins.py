@@ -27,27 +27,28 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
 
 def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "left",
                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join rows to a table that has each key at most once; ``how`` is ``left`` or ``inner``.
+    """Join rows to a table that has each key at most once.
 
+    ``how`` is ``inner``, ``left`` (keep all of ``many``) or ``right`` (keep all of ``one``).
     When some keys of ``many`` are hot, a shuffle on the key would send all their rows to one
     task. Their rows stay where they are and get the at most 1000 matching rows of ``one`` by
     broadcast; all other rows take the ordinary join. ``one`` is then stored once, as both parts
     read it. Null keys match nothing and follow the hot rows when they are many.
     """
-    if how == "inner":
+    if how != "left":
         many = many.where(ref(key).isNotNull())
     hot = hot_keys(many, key, hot_rows)
     if not hot:
         return many.join(one, key, how)
     known = [k for k in hot if k is not None]
-    is_hot = F.coalesce(ref(key).isin(known), F.lit(False))
-    if None in hot:
-        is_hot = is_hot | ref(key).isNull()
+    is_known = F.coalesce(ref(key).isin(known), F.lit(False))
+    is_hot = is_known | ref(key).isNull() if None in hot else is_known
     one = stored(one, "lookup")
-    few = F.broadcast(one.where(ref(key).isin(known)))
+    few, others = F.broadcast(one.where(is_known)), one.where(~is_known)
+    # A hot key occurs in ``many``, so its row of ``one`` needs no second place in a right join.
     return (
-        many.where(~is_hot).join(one, key, how)
-        .unionByName(many.where(is_hot).join(few, key, how))
+        many.where(~is_hot).join(others, key, how)
+        .unionByName(many.where(is_hot).join(few, key, "left" if how == "left" else "inner"))
     )
 
 
@@ -71,16 +72,15 @@ def name_spellings(catalogue: DataFrame, name: str, one_per_key: bool = False) -
     return known.groupBy("name_key", ref(name)).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def join_by_name(per_key: DataFrame, spellings: DataFrame) -> DataFrame:
-    """Left join of aggregated facts to catalogue names; unmatched facts keep a null name.
+def join_by_name(per_key: DataFrame, spellings: DataFrame,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Aggregated facts with the catalogue names they match; unmatched facts have a null name.
 
     A fact matches every catalogue row with its name. Rows that are copies are represented once
-    with their number in ``copies``, so repeated models neither multiply rows nor heat a key.
+    with their number in ``copies``, so repeated models do not multiply rows.
     """
-    return (
-        per_key.join(spellings, "name_key", "left")
-        .withColumn("copies", F.coalesce("copies", F.lit(1)))
-    )
+    joined = lookup_join(spellings, per_key, "name_key", "right", hot_rows)
+    return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
 def _keys_by_side(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:

@@ -19,6 +19,9 @@ from ratelens.operators.joins import (
 )
 
 
+STARS = range(1, 6)
+
+
 def n_rows(name: str) -> Column:
     return F.count(F.lit(1)).alias(name)
 
@@ -124,13 +127,13 @@ def label_scorecard(ratings: DataFrame, labelled: DataFrame,
 
 
 def model_ratings(ratings: DataFrame, raw_name: str, catalogue: DataFrame, model: str,
-                  one_per_key: bool = False) -> DataFrame:
+                  one_per_key: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mean and number of ratings per catalogue model, matched on the normalised name.
 
     Ratings that match nothing form the group with a null model.
     """
     totals = star_totals(ratings, C.text_key(C.ref(raw_name)).alias("name_key"))
-    joined = join_by_name(totals, name_spellings(catalogue, model, one_per_key))
+    joined = join_by_name(totals, name_spellings(catalogue, model, one_per_key), hot_rows)
     copies = F.col("copies")
     return joined.groupBy(model).agg(
         mean_of_totals(copies).alias("promedio_calificacion"),
@@ -139,12 +142,12 @@ def model_ratings(ratings: DataFrame, raw_name: str, catalogue: DataFrame, model
 
 
 def model_reviews(reviews: DataFrame, raw_name: str, catalogue: DataFrame, model: str,
-                  one_per_key: bool = False) -> DataFrame:
+                  one_per_key: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number of reviews per catalogue model, matched as in ``model_ratings``."""
     counts = (
         reviews.groupBy(C.text_key(C.ref(raw_name)).alias("name_key")).agg(n_rows("review_rows"))
     )
-    joined = join_by_name(counts, name_spellings(catalogue, model, one_per_key))
+    joined = join_by_name(counts, name_spellings(catalogue, model, one_per_key), hot_rows)
     return joined.groupBy(model).agg(
         F.sum(F.col("review_rows") * F.col("copies")).alias("n_resenas"))
 
@@ -182,20 +185,28 @@ def star_histogram(ratings: DataFrame, stars: str = "calificacion") -> DataFrame
     return ratings.groupBy(C.ref(stars).alias("calificacion")).agg(n_rows("n"))
 
 
+def star_counts(stars: str, domain: Iterable[int] = STARS) -> list[Column]:
+    """One count per star of the domain, for one global aggregation; halves round to even."""
+    rounded = F.bround(C.ref(stars), 0)
+    return [F.count_if(rounded == F.lit(float(s))).alias(str(s)) for s in domain]
+
+
+def stars_long(wide: DataFrame, domain: Iterable[int] = STARS) -> DataFrame:
+    """The row of ``star_counts`` as (estrellas, n) rows."""
+    return (
+        wide.unpivot([], [C.ref(str(s)) for s in domain], "estrellas", "n")
+        .withColumn("estrellas", F.col("estrellas").cast("int"))
+    )
+
+
 def star_histogram_dense(ratings: DataFrame, stars: str,
-                         domain: Iterable[int] = range(1, 6)) -> DataFrame:
+                         domain: Iterable[int] = STARS) -> DataFrame:
     """Rows per rounded star, one output row for each star of the domain, 0 where there are none.
 
-    Halves round to the even star. Missing stars and stars outside the domain are not counted.
-    One global aggregation counts all stars of the domain side by side.
+    Missing stars and stars outside the domain are not counted.
     """
-    rounded = F.bround(C.ref(stars), 0)
     wanted = list(domain)
-    wide = ratings.agg(*[F.count_if(rounded == F.lit(float(s))).alias(str(s)) for s in wanted])
-    return (
-        wide.unpivot([], [C.ref(str(s)) for s in wanted], "estrellas", "n")
-        .withColumn("estrellas", F.col("estrellas").cast("int"))
-    )
+    return stars_long(ratings.agg(*star_counts(stars, wanted)), wanted)
 
 
 def monthly_ratings(ratings: DataFrame) -> DataFrame:
@@ -218,26 +229,43 @@ def user_activity(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("usuario").agg(*measures)
 
 
-def named_user_counts(reviews: DataFrame) -> DataFrame:
-    """Reviews per ``username``, reviews without comment included. Null user goes."""
-    return reviews.where(F.col("username").isNotNull()).groupBy("username").agg(
-        n_rows("n_resenas"))
+def user_counts(reviews: DataFrame, user: str = "username") -> DataFrame:
+    """Reviews per user, reviews without comment included. Null user stays."""
+    return reviews.groupBy(C.ref(user)).agg(n_rows("n_resenas"))
+
+
+def named_user_counts(reviews: DataFrame, user: str = "username") -> DataFrame:
+    """As ``user_counts``; null user goes."""
+    return user_counts(reviews.where(C.ref(user).isNotNull()), user)
 
 
 # ---- one-row summaries -------------------------------------------------------------------
 
-def rating_summary(ratings: DataFrame, stars: str) -> DataFrame:
+def rating_totals(stars: str) -> list[Column]:
     """Number of ratings, unreadable ones included, and their mean to 2 decimals."""
-    return ratings.agg(
-        n_rows("total_calif"), F.round(F.avg(C.ref(stars)), 2).alias("promedio_global"))
+    return [n_rows("total_calif"), F.round(F.avg(C.ref(stars)), 2).alias("promedio_global")]
+
+
+def rating_summary(ratings: DataFrame, stars: str) -> DataFrame:
+    return ratings.agg(*rating_totals(stars))
 
 
 def review_summary(reviews: DataFrame, user: str = "username") -> DataFrame:
     """Number of reviews, number of users, reviews per user to 2 decimals."""
-    totals = reviews.agg(
-        n_rows("total_resenas"), F.countDistinct(C.ref(user)).alias("total_usuarios"))
-    per_user = F.col("total_resenas") / F.greatest("total_usuarios", F.lit(1))
-    return totals.withColumn("promedio_resenas_usuario", F.round(per_user, 2))
+    return _per_user(reviews.agg(
+        n_rows("total_resenas"), F.countDistinct(C.ref(user)).alias("total_usuarios")))
+
+
+def review_summary_of_counts(counts: DataFrame, user: str = "username") -> DataFrame:
+    """``review_summary`` from a table of (user, n_resenas) that has a row for the null user."""
+    return _per_user(counts.agg(
+        F.coalesce(F.sum("n_resenas"), F.lit(0)).alias("total_resenas"),
+        F.count(C.ref(user)).alias("total_usuarios")))
+
+
+def _per_user(totals: DataFrame) -> DataFrame:
+    mean = F.col("total_resenas") / F.greatest("total_usuarios", F.lit(1))
+    return totals.withColumn("promedio_resenas_usuario", F.round(mean, 2))
 
 
 def table_size(df: DataFrame, name: str = "total") -> DataFrame:

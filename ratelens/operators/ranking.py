@@ -19,6 +19,8 @@ NAMED_ORDERS = {
 }
 # Limits of the vehicle list.
 DEFAULT_TOP, LARGEST_TOP, PAGE_ROWS = 20, 50, 500
+# Copies of one row are sorted in pieces of at most so many.
+PIECE_ROWS = 100_000
 
 
 def falling(name: str) -> Column:
@@ -29,21 +31,36 @@ def rising(name: str) -> Column:
     return ref(name).asc_nulls_last()
 
 
-def report_order(df: DataFrame, *order: Column) -> DataFrame:
+def report_order(df: DataFrame, *order: Column, copies: bool = False) -> DataFrame:
     """Sort by the given columns, then by all columns from left to right.
 
     The second part makes the order of ties the same in every run and lets the range sort spread
-    rows that share a hot value over many tasks.
+    rows that share a hot value over many tasks. Rows that are alike in every column it cannot
+    spread; ``copies`` says that the table may hold many of them, as a catalogue with repeated
+    rows may. They are then counted, sorted as pieces of limited size, and repeated again. A
+    grouped table has no copies and is spared that extra shuffle.
     """
-    return df.orderBy(*order, *[rising(c) for c in df.columns])
-
-
-def named_order(df: DataFrame, name: str) -> DataFrame:
+    if not copies:
+        return df.orderBy(*order, *[rising(c) for c in df.columns])
+    columns = [ref(c) for c in df.columns]
+    piece, size = F.col("_piece"), F.lit(PIECE_ROWS)
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    last = F.floor((F.col("_copies") - 1) / size)
+    pieces = counted.select(
+        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_piece"))
+    sized = pieces.withColumn("_size", F.least(size, F.col("_copies") - piece * size).cast("int"))
+    ordered = sized.orderBy(*order, *[rising(c) for c in df.columns], piece)
+    again = F.explode(F.array_repeat(F.lit(0), F.col("_size"))).alias("_again")
+    return ordered.select(*columns, again).select(*columns)
+
+
+def named_order(df: DataFrame, name: str, copies: bool = False) -> DataFrame:
     """One of four two-column orders; an unknown name leaves the rows as they come."""
     pairs = NAMED_ORDERS.get(name)
     if pairs is None:
         return df
-    return report_order(df, *[falling(c) if down else rising(c) for c, down in pairs])
+    keys = [falling(c) if down else rising(c) for c, down in pairs]
+    return report_order(df, *keys, copies=copies)
 
 
 def column_order(df: DataFrame, column: str, default: str, ascending: bool = False) -> DataFrame:
@@ -90,7 +107,7 @@ def rank_of(scores: DataFrame, key: str, wanted: str, measures: Sequence[str]) -
     unknown id gives no row. Two aggregations, no sort: numbering all rows in order would send
     the whole table through one task.
     """
-    best = scores.where(same_text(ref(key), wanted)).agg(F.struct(
+    best = scores.where(same_text(scores, key, wanted)).agg(F.struct(
         F.count(F.lit(1)).alias("_rows"), *[F.max(ref(m)).alias(m) for m in measures])).scalar()
     places = []
     for m in measures:

@@ -12,6 +12,7 @@ from ratelens import vocabulary as V
 from ratelens.functions import convert as C
 from ratelens.functions.match import same_text, search
 from ratelens.operators import metrics, ranking
+from ratelens.operators.joins import stored
 from ratelens.operators.reshape import metrics_long
 from ratelens.sources import frames
 from ratelens.sources.names import must_pick, pick, project
@@ -25,10 +26,9 @@ def vehicles_page(raw_scores: DataFrame, query: str = "", order: str = V.BEST,
     scores = frames.stored_scorecard(raw_scores)
     found = search(scores, C.ref("vehiculo_label"), query)
     chart = ("vehiculo_label", "promedio_calificacion", "n_resenas")
-    listed = ranking.named_order(found, order)
     return {
-        "vehiculos": listed,
-        "top": listed.limit(n).select(*chart),
+        "vehiculos": ranking.named_order(found, order, copies=True),
+        "top": ranking.named_order(found, order).limit(n).select(*chart),
         "top_resenas": ranking.top(found, n, ranking.falling("n_resenas")).select(
             "vehiculo_label", "n_resenas"),
     }
@@ -85,7 +85,7 @@ def vehicle_detail(scores: DataFrame, wanted: str) -> dict[str, DataFrame]:
         **({"n_resenas": reviews} if reviews else {}),
     })
     return {
-        "detalle": scores.where(same_text(C.ref(key), wanted)).select(
+        "detalle": scores.where(same_text(scores, key, wanted)).select(
             *[C.ref(c) for c in shown]),
         "metricas": metrics_long(
             renamed, key, wanted, ["promedio_calificacion", "n_calificaciones", "n_resenas"]),
@@ -96,15 +96,20 @@ def vehicle_detail(scores: DataFrame, wanted: str) -> dict[str, DataFrame]:
 
 # ---- brands ------------------------------------------------------------------------------
 
-def brands_page(scores: DataFrame, query: str = "", at_least: int = 0,
-                n: int = 20) -> dict[str, DataFrame]:
-    """Brands with enough ratings: the table by mean, the top by reviews, the top by mean."""
+def brands_page(scores: DataFrame, query: str = "", at_least: int = 0, n: int = 20,
+                one_pass: bool = False) -> dict[str, DataFrame]:
+    """Brands with enough ratings: the table by mean, the top by reviews, the top by mean.
+
+    With ``one_pass`` the table of brands is stored and gives all parts.
+    """
     brand = must_pick(scores, V.SCORE_BRAND, "brand")
     key, mean, reviews, ratings = _score_columns(scores)
     found = search(scores, C.ref(brand), query)
     brands = metrics.brand_rollup(found, brand, key, mean, ratings, reviews)
     if ratings and at_least > 0:
         brands = ranking.supported(brands, "total_calificaciones", at_least)
+    if one_pass:
+        brands = stored(brands, "brands-page")
     parts = {
         "total": metrics.table_size(brands),
         "tabla": ranking.report_order(brands, ranking.falling("rating_promedio")),
@@ -124,7 +129,7 @@ def brand_detail(scores: DataFrame, wanted: str, at_least: int = 0,
     """
     brand = must_pick(scores, V.SCORE_BRAND, "brand")
     key, mean, reviews, ratings = _score_columns(scores)
-    own = scores.where(same_text(C.ref(brand), wanted))
+    own = scores.where(same_text(scores, brand, wanted))
     summary = metrics.brand_rollup(own, brand, key, mean, ratings, reviews)
     if ratings and at_least > 0:
         summary = ranking.supported(summary, "total_calificaciones", at_least)
@@ -140,22 +145,39 @@ def brand_detail(scores: DataFrame, wanted: str, at_least: int = 0,
 
 # ---- ratings and reviews -----------------------------------------------------------------
 
-def ratings_page(raw_ratings: DataFrame) -> dict[str, DataFrame]:
-    """Number and mean of all ratings, and how many there are of each star from 1 to 5."""
+def ratings_page(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
+    """Number and mean of all ratings, and how many there are of each star from 1 to 5.
+
+    Both come from one global aggregation, of which each part computes only what it shows. With
+    ``one_pass`` its single row is stored, so that showing both reads the ratings once.
+    """
     ratings = frames.star_ratings(raw_ratings)
+    totals = metrics.rating_totals("estrellas_num")
+    wide = ratings.agg(*totals, *metrics.star_counts("estrellas_num"))
+    if one_pass:
+        wide = stored(wide, "ratings-page")
     return {
-        "resumen": metrics.rating_summary(ratings, "estrellas_num"),
-        "distribucion": metrics.star_histogram_dense(ratings, "estrellas_num"),
+        "resumen": wide.select("total_calif", "promedio_global"),
+        "distribucion": metrics.stars_long(wide).select("estrellas", "n"),
     }
 
 
-def reviews_page(raw_reviews: DataFrame, n: int = 20) -> dict[str, DataFrame]:
-    """Totals of all reviews and the n busiest users."""
+def reviews_page(raw_reviews: DataFrame, n: int = 20,
+                 one_pass: bool = False) -> dict[str, DataFrame]:
+    """Totals of all reviews and the n busiest users.
+
+    With ``one_pass`` the counts per user are stored and give both parts.
+    """
     reviews = frames.user_reviews(raw_reviews)
+    if one_pass:
+        counts = stored(metrics.user_counts(reviews), "reviews-page")
+        summary = metrics.review_summary_of_counts(counts)
+        named = counts.where(C.ref("username").isNotNull())
+    else:
+        summary, named = metrics.review_summary(reviews), metrics.named_user_counts(reviews)
     return {
-        "resumen": metrics.review_summary(reviews),
-        "usuarios": ranking.top(
-            metrics.named_user_counts(reviews), n, ranking.falling("n_resenas")),
+        "resumen": summary,
+        "usuarios": ranking.top(named, n, ranking.falling("n_resenas")),
     }
 
 

@@ -16,13 +16,27 @@ from ratelens.sources.names import MissingColumns, must_pick, pick, project
 from ratelens.sources.readers import empty_catalogue, read_csv_groups
 
 
-def ratings_report(raw_ratings: DataFrame) -> dict[str, DataFrame]:
-    """Star histogram and, when the ratings are dated, their monthly series."""
+def ratings_report(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
+    """Star histogram and, when the ratings are dated, their monthly series.
+
+    With ``one_pass`` the counts per star and month, a small table, are stored and give both, so
+    the ratings are read once.
+    """
     ratings = frames.ratings_by_text_id(raw_ratings)
-    report = {"distribucion_estrellas": metrics.star_histogram(ratings).orderBy("calificacion")}
-    if "fecha" in ratings.columns:
-        report["calificaciones_mensual"] = metrics.monthly_ratings(ratings).orderBy("ym")
-    return report
+    if "fecha" not in ratings.columns:
+        return {"distribucion_estrellas": metrics.star_histogram(ratings).orderBy("calificacion")}
+    if one_pass:
+        counts = joins.stored(
+            ratings.groupBy("calificacion", C.month(F.col("fecha")).alias("ym"))
+            .agg(metrics.n_rows("n")), "ratings-report")
+        histogram = counts.groupBy("calificacion").agg(F.sum("n").alias("n"))
+        series = counts.groupBy("ym").agg(F.sum("n").alias("n_calif"))
+    else:
+        histogram, series = metrics.star_histogram(ratings), metrics.monthly_ratings(ratings)
+    return {
+        "distribucion_estrellas": histogram.orderBy("calificacion"),
+        "calificaciones_mensual": series.orderBy("ym"),
+    }
 
 
 def reviews_report(raw_reviews: DataFrame) -> dict[str, DataFrame]:
@@ -70,7 +84,8 @@ def full_catalogue_scorecard(raw_ratings: DataFrame, raw_catalogue: DataFrame,
         frames.ratings_by_number(raw_ratings), hot_rows)
     result = scored.select("id_vehiculo", "vehiculo_label", "promedio_calificacion", "n_resenas",
                            "calificado")
-    return ranking.report_order(result, ranking.falling("promedio_calificacion"))
+    return ranking.report_order(
+        result, ranking.falling("promedio_calificacion"), copies=True)
 
 
 def coverage(raw_ratings: DataFrame, raw_catalogue: DataFrame) -> DataFrame:
@@ -84,23 +99,24 @@ def coverage(raw_ratings: DataFrame, raw_catalogue: DataFrame) -> DataFrame:
 
 
 def ratings_by_model(raw_ratings: DataFrame, autos: DataFrame, raw_name: str = "carroId",
-                     model: str = "Model", one_per_key: bool = False) -> DataFrame:
+                     model: str = "Model", one_per_key: bool = False,
+                     hot_rows: int = joins.HOT_ROWS) -> DataFrame:
     """Mean and number of ratings per catalogue model, matched by name, best first."""
     ratings = project(raw_ratings, {
         raw_name: raw_name,
         "calificacion": C.number(raw_ratings, must_pick(
             raw_ratings, ("estrellas", *V.RATING), "rating", any_case=True)),
     })
-    result = metrics.model_ratings(ratings, raw_name, autos, model, one_per_key)
+    result = metrics.model_ratings(ratings, raw_name, autos, model, one_per_key, hot_rows)
     return ranking.report_order(result, ranking.falling("promedio_calificacion"))
 
 
 def reviews_by_model(raw_reviews: DataFrame, autos: DataFrame, model: str = "Model",
-                     one_per_key: bool = False) -> DataFrame:
+                     one_per_key: bool = False, hot_rows: int = joins.HOT_ROWS) -> DataFrame:
     """Number of reviews per catalogue model, matched by name, most reviewed first."""
-    raw_name = must_pick(raw_reviews, ("id_vehiculo", "carroid", "modelo"), "model name",
-                         any_case=True)
-    result = metrics.model_reviews(raw_reviews, raw_name, autos, model, one_per_key)
+    raw_name = must_pick(raw_reviews, ("id_vehiculo", "carroid", "modelo", *V.VEHICLE_ID),
+                         "model name", any_case=True)
+    result = metrics.model_reviews(raw_reviews, raw_name, autos, model, one_per_key, hot_rows)
     return ranking.report_order(result, ranking.falling("n_resenas"))
 
 

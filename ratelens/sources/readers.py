@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -27,8 +28,9 @@ def read_csv(spark: SparkSession, path: str | Sequence[str],
     Give a schema: it costs no extra pass, and a month such as ``2023-11`` stays text. Without
     one every column is text, to be converted by the caller. ``infer`` reads the whole file once
     more to guess the types. Files whose header differs from the schema are an error, not a
-    silent shift of columns. ``multi_line`` allows line breaks inside quoted text; Spark then
-    cannot split a file, so such tables belong in many files.
+    silent shift of columns; only a header with unnamed columns, which Spark calls ``_c0`` and so
+    on, cannot be checked. An empty text comes back as null. ``multi_line`` allows line breaks
+    inside quoted text; Spark then cannot split a file, so such tables belong in many files.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.options(**_csv_options(multi_line))
@@ -37,7 +39,10 @@ def read_csv(spark: SparkSession, path: str | Sequence[str],
     if schema is None:
         names = reader.csv(paths).columns
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.schema(schema).option("enforceSchema", False).csv(paths)
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    unnamed = any(re.fullmatch(r"_c\d+", n) for n in schema.fieldNames())
+    return reader.schema(schema).option("enforceSchema", unnamed).csv(paths)
 
 
 def read_csv_groups(spark: SparkSession, globs: Sequence[str],

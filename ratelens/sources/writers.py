@@ -18,7 +18,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV directory with a header in each part file, replaced as a whole.
 
-    Blanks around text are kept and quotes are doubled, so ``read_csv`` gives the same values back.
+    Blanks around text are kept and quotes are doubled, so ``read_csv`` gives the same values
+    back, but for an empty text, which CSV does not tell from a missing one.
     """
     (
         df.write.mode("overwrite")
@@ -44,9 +45,9 @@ def write_report(df: DataFrame, path: str, at_most: int) -> None:
         bounded.unpersist()
 
 
-def write_sorted(df: DataFrame, path: str, *order: Column) -> None:
+def write_sorted(df: DataFrame, path: str, *order: Column, copies: bool = False) -> None:
     """CSV in report order: a range sort, whose part files are numbered in that order."""
-    write_csv(report_order(df, *order), path)
+    write_csv(report_order(df, *order, copies=copies), path)
 
 
 def write_each(df: DataFrame, csv_paths: Sequence[str]) -> None:

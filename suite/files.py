@@ -290,7 +290,8 @@ def discovered_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def discovered_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.star_ratings(table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("auto"), F.col("l_quantity").cast("string").alias("Total_Estrellas"),
+        F.col("l_partkey").alias("auto"),
+        F.col("l_quantity").cast("string").alias("Total_Estrellas"),
         F.col("l_shipdate").cast("string").alias("fecha_alta")))
 
 

@@ -105,6 +105,9 @@ def test_search(spark):
 
 def test_exact_lookup_and_presence(spark):
     df = spark.createDataFrame([(7, "a"), (70, None), (None, "b")], "k long, v string")
-    assert rows(df.where(same_text(F.col("k"), "7"))) == [(7, "a")]
+    assert rows(df.where(same_text(df, "k", "7"))) == [(7, "a")]
+    for absent in ("07", "+7", "7.0", "x", "", "9" * 30, "٧"):
+        assert df.where(same_text(df, "k", absent)).isEmpty()
+    assert rows(df.where(same_text(df, "v", "b"))) == [(None, "b")]
     assert rows(df.where(both_present(F.col("k"), F.col("v")))) == [(7, "a")]
     assert applied(df, contains(F.col("v"), "B")) == [False, None, True]

@@ -95,7 +95,8 @@ def test_model_ratings_fan_out_like_a_row_join(spark):
         .groupBy("Model").agg(F.avg("calificacion"), F.count(F.lit(1)))
     )
     made = metrics.model_ratings(facts, "raw", autos, "Model")
-    assert unordered(made) == unordered(plain) == sorted([
+    split = metrics.model_ratings(facts, "raw", autos, "Model", hot_rows=2)
+    assert unordered(split) == unordered(made) == unordered(plain) == sorted([
         ("Ibiza", 3.5, 4), ("IBIZA", 3.5, 2), ("Uno", 3.0, 1), (None, 1.0, 2)], key=repr)
     once = metrics.model_ratings(facts, "raw", autos, "Model", one_per_key=True)
     assert unordered(once) == sorted([
@@ -154,6 +155,9 @@ def test_users(spark):
         ("u", 2), (None, 1), ("v", 1)], key=repr)
     named = reviews.withColumnsRenamed({"usuario": "username", "resena": "comentario"})
     assert unordered(metrics.named_user_counts(named)) == [("u", 2), ("v", 1)]
+    for data in (named, named.limit(0), named.where("username is null")):
+        assert rows(metrics.review_summary_of_counts(metrics.user_counts(data))) == rows(
+            metrics.review_summary(data))
     assert rows(metrics.review_summary(named)) == [(4, 2, 2.0)]
     assert rows(metrics.review_summary(named.limit(0))) == [(0, 0, 0.0)]
     assert rows(metrics.review_summary(named.where("username is null"))) == [(1, 0, 1.0)]

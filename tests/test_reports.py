@@ -36,6 +36,9 @@ def test_ratings_report(raw_ratings):
     assert rows(report["distribucion_estrellas"]) == [(None, 2), (3.0, 1), (4.5, 1), (5.0, 1)]
     assert rows(report["calificaciones_mensual"]) == [
         (None, 2), ("2024-01", 2), ("2024-02", 1)]
+    once = reports.ratings_report(raw_ratings, one_pass=True)
+    for part, df in report.items():
+        assert rows(once[part]) == rows(df) and once[part].dtypes == df.dtypes
     assert list(reports.ratings_report(raw_ratings.drop("creado_en"))) == ["distribucion_estrellas"]
 
 
@@ -159,6 +162,8 @@ def test_brands(scores):
         ("Fiat", 5.0, 1, 1, 1), ("Seat", 2.5, 2, 14, 40), (None, None, 1, 0, 0)]
     assert [r[0] for r in rows(page["top_resenas"])] == ["Seat", "Fiat", None]
     assert rows(page["total"]) == [(3,)]
+    once = dashboards.brands_page(scores, one_pass=True)
+    assert {p: rows(df) for p, df in once.items()} == {p: rows(df) for p, df in page.items()}
     assert rows(dashboards.brands_page(scores, at_least=2)["total"]) == [(1,)]
     assert rows(dashboards.brands_page(scores, query="FI")["top_rating"]) == [
         ("Fiat", 5.0, 1, 1, 1)]
@@ -197,7 +202,11 @@ def test_ratings_and_reviews_pages(spark, raw_ratings, raw_reviews):
     page = dashboards.ratings_page(raw_ratings)
     assert rows(page["resumen"]) == [(5, 4.17)]
     assert rows(page["distribucion"]) == [(1, 0), (2, 0), (3, 1), (4, 1), (5, 1)]
+    once = dashboards.ratings_page(raw_ratings, one_pass=True)
+    assert {p: rows(df) for p, df in once.items()} == {p: rows(df) for p, df in page.items()}
     page = dashboards.reviews_page(raw_reviews, n=1)
+    once = dashboards.reviews_page(raw_reviews, n=1, one_pass=True)
+    assert {p: rows(df) for p, df in once.items()} == {p: rows(df) for p, df in page.items()}
     assert rows(page["resumen"]) == [(4, 2, 2.0)]
     assert rows(page["usuarios"]) == [("u", 2)]
 

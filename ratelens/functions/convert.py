@@ -74,6 +74,16 @@ def trimmed(value: Column) -> Column:
     return F.trim(text(value))
 
 
+def key(df: DataFrame, name: str) -> Column:
+    """A key to group by: integers as they are, anything else as trimmed text.
+
+    Both have the same text form, but grouping and joining integers moves and compares less.
+    """
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return ref(name)
+    return trimmed(ref(name))
+
+
 def stripped(value: Column) -> Column:
     """Text without leading and trailing white space of any kind."""
     return F.regexp_replace(text(value), r"(?U)^\s+|\s+$", "")

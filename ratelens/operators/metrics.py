@@ -70,7 +70,7 @@ def ratings_and_reviews(ratings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Every vehicle that has a rating or a review, with the measures of both.
 
     Both sides are aggregated by id, so the outer join reuses their partitioning. Rows without id
-    stay apart, one from each side. Review measures are 0 where a vehicle has none; the mean and
+    stay apart, one from each side. Ids of different types meet as text. Review measures are 0 where a vehicle has none; the mean and
     number of ratings stay null where nothing was rated. Reviews without an id column cannot be
     assigned to vehicles and count as none.
     """
@@ -78,7 +78,12 @@ def ratings_and_reviews(ratings: DataFrame, reviews: DataFrame) -> DataFrame:
     if "id_vehiculo" not in reviews.columns:
         return rated.withColumns({
             "n_resenas": F.lit(0).cast("bigint"), "longitud_media_resena": F.lit(0.0)})
-    both = rated.join(vehicle_reviews(reviews), "id_vehiculo", "full_outer")
+    reviewed = vehicle_reviews(reviews)
+    if rated.schema["id_vehiculo"].dataType != reviewed.schema["id_vehiculo"].dataType:
+        as_text = C.text(F.col("id_vehiculo"))
+        rated = rated.withColumn("id_vehiculo", as_text)
+        reviewed = reviewed.withColumn("id_vehiculo", as_text)
+    both = rated.join(reviewed, "id_vehiculo", "full_outer")
     filled = ("n_resenas", "longitud_media_resena")
     return both.fillna({c: 0 for c in filled if c in both.columns})
 

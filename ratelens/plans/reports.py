@@ -22,7 +22,7 @@ def ratings_report(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str,
     With ``one_pass`` the counts per star and month, a small table, are stored and give both, so
     the ratings are read once.
     """
-    ratings = frames.ratings_by_text_id(raw_ratings)
+    ratings = frames.ratings_by_id(raw_ratings)
     if "fecha" not in ratings.columns:
         return {"distribucion_estrellas": metrics.star_histogram(ratings).orderBy("calificacion")}
     if one_pass:
@@ -41,7 +41,7 @@ def ratings_report(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str,
 
 def reviews_report(raw_reviews: DataFrame) -> dict[str, DataFrame]:
     """Daily series and, when the users are known, their activity, busiest first."""
-    reviews = frames.reviews_by_text_id(raw_reviews)
+    reviews = frames.reviews_by_id(raw_reviews)
     if "fecha_d" not in reviews.columns:
         raise MissingColumns(f"no review date column, got {raw_reviews.columns}")
     report = {"resenas_diarias": metrics.daily_reviews(reviews).orderBy("fecha_d")}
@@ -53,10 +53,11 @@ def reviews_report(raw_reviews: DataFrame) -> dict[str, DataFrame]:
 
 def vehicles_report(raw_ratings: DataFrame, raw_reviews: DataFrame) -> DataFrame:
     """Rating and review measures per vehicle, best rated first, unrated last."""
-    ratings = frames.ratings_by_text_id(raw_ratings)
+    ratings = frames.ratings_by_id(raw_ratings)
     if "id_vehiculo" not in ratings.columns:
         raise MissingColumns(f"no vehicle id column, got {raw_ratings.columns}")
-    both = metrics.ratings_and_reviews(ratings, frames.reviews_by_text_id(raw_reviews))
+    both = metrics.ratings_and_reviews(ratings, frames.reviews_by_id(raw_reviews))
+    both = both.withColumn("id_vehiculo", C.text(F.col("id_vehiculo")))
     return ranking.report_order(both, ranking.falling("promedio_calificacion"))
 
 

@@ -15,26 +15,26 @@ from ratelens.sources.names import (
 )
 
 
-def ratings_by_text_id(raw: DataFrame) -> DataFrame:
-    """``calificacion``, plus ``id_vehiculo`` (text) and ``fecha`` where the table has them."""
+def ratings_by_id(raw: DataFrame) -> DataFrame:
+    """``calificacion``, plus ``id_vehiculo`` and ``fecha`` where the table has them."""
     df = snake_columns(raw)
     columns = {"calificacion": C.number(df, must_pick(df, V.RATING, "rating"))}
     key, date = pick(df, V.VEHICLE_ID), pick(df, V.RATING_DATE)
     if key:
-        columns["id_vehiculo"] = C.trimmed(C.ref(key))
+        columns["id_vehiculo"] = C.key(df, key)
     if date:
         columns["fecha"] = C.day(df, date)
     return project(df, columns)
 
 
-def reviews_by_text_id(raw: DataFrame) -> DataFrame:
-    """``id_vehiculo`` (text), ``usuario``, ``resena``, ``fecha_d``: those the table has."""
+def reviews_by_id(raw: DataFrame) -> DataFrame:
+    """``id_vehiculo``, ``usuario``, ``resena``, ``fecha_d``: those the table has."""
     df = snake_columns(raw)
     key, user = pick(df, V.VEHICLE_ID), pick(df, V.USER)
     words, date = pick(df, V.REVIEW_TEXT), pick(df, V.REVIEW_DATE)
     columns = {}
     if key:
-        columns["id_vehiculo"] = C.trimmed(C.ref(key))
+        columns["id_vehiculo"] = C.key(df, key)
     if user:
         columns["usuario"] = C.ref(user)
     if words:

@@ -259,7 +259,7 @@ def normalized_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @case("picked_columns", """
-    select cast(event_id as varchar) as id_vehiculo, event_type as resena,
+    select event_id as id_vehiculo, event_type as resena,
            cast(ts as date) as fecha_d, user_id as usuario
     from events
 """)
@@ -269,7 +269,7 @@ def picked_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("carroId"), F.col("value").alias("idvehiculo"),
         F.col("event_type").alias("Comentario"), F.col("ts").alias("Fecha"),
         F.lit("no").alias("createdAt"), F.col("user_id").alias("Username"))
-    return frames.reviews_by_text_id(raw)
+    return frames.reviews_by_id(raw)
 
 
 @case("discovered_scorecard", """

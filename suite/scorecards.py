@@ -314,7 +314,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     vehicles = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id_vehiculo"),
         F.when(F.col("p_size") > 5, F.col("p_brand")).alias("marca"))
-    reviewed = frames.reviews_by_text_id(reviews(spark, sf_dir))
+    reviewed = frames.reviews_by_id(reviews(spark, sf_dir))
     return metrics.vehicle_scorecard(
         vehicles, frames.ratings_by_number(star_events(spark, sf_dir)),
         reviewed.withColumn("id_vehiculo", F.col("id_vehiculo").try_cast("bigint")))

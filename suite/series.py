@@ -113,7 +113,7 @@ def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_activity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "documents").select(
         F.col("source").alias("Author"), F.col("text").alias("Reseña"))
-    users = metrics.user_activity(frames.reviews_by_text_id(raw))
+    users = metrics.user_activity(frames.reviews_by_id(raw))
     return rounded(users, 6, "longitud_media_resena")
 
 

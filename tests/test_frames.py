@@ -7,22 +7,22 @@ from ratelens.sources import frames
 from ratelens.sources.names import MissingColumns
 
 
-def test_ratings_by_text_id(spark):
+def test_ratings_by_id(spark):
     raw = spark.createDataFrame(
         [(" 7 ", "4", "2024-01-02 10:00:00"), (None, "bad", "x")],
         "carroId string, Estrellas string, creadoEn string")
-    made = frames.ratings_by_text_id(raw)
+    made = frames.ratings_by_id(raw)
     assert dict(made.dtypes) == {
         "calificacion": "double", "id_vehiculo": "string", "fecha": "date"}
     assert rows(made.select("id_vehiculo", "calificacion", "fecha")) == [
         ("7", 4.0, datetime.date(2024, 1, 2)), (None, None, None)]
     with pytest.raises(MissingColumns, match="rating"):
-        frames.ratings_by_text_id(raw.drop("Estrellas"))
+        frames.ratings_by_id(raw.drop("Estrellas"))
 
 
 def test_reviews_take_what_is_there(spark):
     raw = spark.createDataFrame([("u", "t")], "author string, coment string")
-    assert frames.reviews_by_text_id(raw).columns == ["usuario", "resena"]
+    assert frames.reviews_by_id(raw).columns == ["usuario", "resena"]
 
 
 def test_ratings_by_number_with_an_unnamed_id(spark):

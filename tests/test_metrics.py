@@ -47,6 +47,13 @@ def test_ratings_and_reviews_keep_both_sides(spark):
         ("1", 5.0, 1, 0, 0.0), ("2", 4.0, 1, 0, 0.0), (None, 1.0, 1, 0, 0.0)], key=repr)
 
 
+def test_ids_of_different_types_meet_as_text(spark):
+    rated = ratings(spark, [(1, 5.0), (2, 4.0)])
+    reviews = spark.createDataFrame([("2",), ("02",)], "id_vehiculo string")
+    assert unordered(metrics.ratings_and_reviews(rated, reviews)) == [
+        ("02", None, None, 1), ("1", 5.0, 1, 0), ("2", 4.0, 1, 1)]
+
+
 @pytest.mark.parametrize("hot_rows", [1, 10**6])
 def test_catalogue_scorecard_shows_unrated(spark, hot_rows):
     vehicles = spark.createDataFrame(

@@ -18,7 +18,8 @@ class NoOverlap(ValueError):
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
     """The keys with the most rows, null included: at most 1000, each with ``min_rows`` or more.
 
-    Any key left out holds less than a thousandth of the table, which one task can take.
+    Any key left out has fewer rows than that or less than a thousandth of the table, which one
+    task can take.
     """
     counts = df.groupBy(ref(key)).agg(F.count(F.lit(1)).alias("_rows"))
     most = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), ref(key).asc())

@@ -247,8 +247,9 @@ def named_user_counts(reviews: DataFrame, user: str = "username") -> DataFrame:
 # ---- one-row summaries -------------------------------------------------------------------
 
 def rating_totals(stars: str) -> list[Column]:
-    """Number of ratings, unreadable ones included, and their mean to 2 decimals."""
-    return [n_rows("total_calif"), F.round(F.avg(C.ref(stars)), 2).alias("promedio_global")]
+    """Number of ratings, unreadable ones included, and their mean to 2 decimals, halves to even.
+    """
+    return [n_rows("total_calif"), F.bround(F.avg(C.ref(stars)), 2).alias("promedio_global")]
 
 
 def rating_summary(ratings: DataFrame, stars: str) -> DataFrame:
@@ -256,7 +257,7 @@ def rating_summary(ratings: DataFrame, stars: str) -> DataFrame:
 
 
 def review_summary(reviews: DataFrame, user: str = "username") -> DataFrame:
-    """Number of reviews, number of users, reviews per user to 2 decimals."""
+    """Number of reviews, number of users, reviews per user to 2 decimals, halves to even."""
     return _per_user(reviews.agg(
         n_rows("total_resenas"), F.countDistinct(C.ref(user)).alias("total_usuarios")))
 
@@ -270,7 +271,7 @@ def review_summary_of_counts(counts: DataFrame, user: str = "username") -> DataF
 
 def _per_user(totals: DataFrame) -> DataFrame:
     mean = F.col("total_resenas") / F.greatest("total_usuarios", F.lit(1))
-    return totals.withColumn("promedio_resenas_usuario", F.round(mean, 2))
+    return totals.withColumn("promedio_resenas_usuario", F.bround(mean, 2))
 
 
 def table_size(df: DataFrame, name: str = "total") -> DataFrame:

@@ -185,16 +185,19 @@ def reviews_page(raw_reviews: DataFrame, n: int = 20,
 
 def stored_ratings_page(histogram: DataFrame | None,
                         series: DataFrame | None) -> dict[str, DataFrame]:
-    """Star histogram and monthly series from stored results, whichever of them exist."""
+    """Star histogram and monthly series from stored results, whichever of them exist, in order.
+    """
     parts = {}
     if histogram is not None:
         star, n = pick(histogram, V.STORED_STAR), pick(histogram, V.STORED_STAR_COUNT)
         if star and n:
-            parts["distribucion"] = project(histogram, {"calificacion": star, "n": n})
+            parts["distribucion"] = project(
+                histogram, {"calificacion": star, "n": n}).orderBy("calificacion")
     if series is not None:
         month, n = pick(series, V.STORED_MONTH), pick(series, V.STORED_MONTH_COUNT)
         if month and n:
-            parts["mensual"] = project(series, {"ym": C.text(C.ref(month)), "n_calif": n})
+            parts["mensual"] = project(
+                series, {"ym": C.text(C.ref(month)), "n_calif": n}).orderBy("ym")
     return parts
 
 
@@ -206,7 +209,7 @@ def stored_reviews_page(daily: DataFrame | None, users: DataFrame | None, query:
         date, count = pick(daily, V.STORED_DAY), pick(daily, V.STORED_REVIEW_COUNT)
         if date and count:
             parts["diarias"] = project(
-                daily, {"fecha_d": C.moment(daily, date), "n_resenas": count})
+                daily, {"fecha_d": C.moment(daily, date), "n_resenas": count}).orderBy("fecha_d")
     if users is not None:
         user, count = pick(users, V.STORED_USER), pick(users, V.STORED_REVIEW_COUNT)
         if user and count:

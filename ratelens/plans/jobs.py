@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +48,38 @@ def report_by_type(spark: SparkSession, kind: str, autos: str, ratings: str | No
     raise ValueError(f"unknown report {kind!r}")
 
 
-def save(report: Mapping[str, DataFrame], folder: str) -> None:
-    """Each part of a report as a CSV directory of its name, replaced as a whole."""
+def scorecard(spark: SparkSession, ratings: str, catalogue: str, label: str = "id",
+              check_overlap: bool = True) -> dict[str, DataFrame]:
+    """The scorecard per readable name and year, from CSV paths."""
+    return {"vehiculos_agg": reports.named_scorecard(
+        read_csv(spark, ratings), read_csv(spark, catalogue), label, check_overlap)}
+
+
+def whole_catalogue(spark: SparkSession, ratings: str, catalogue: str) -> dict[str, DataFrame]:
+    """The scorecard of every catalogue vehicle and the counts behind it, from CSV paths."""
+    raw_ratings, raw_catalogue = read_csv(spark, ratings), read_csv(spark, catalogue)
+    return {
+        "vehiculos_agg": reports.full_catalogue_scorecard(raw_ratings, raw_catalogue),
+        "cobertura": reports.coverage(raw_ratings, raw_catalogue),
+    }
+
+
+def catalogue(spark: SparkSession, globs: Sequence[str]) -> dict[str, DataFrame]:
+    """The catalogue from groups of CSV files, empty when there are none."""
+    return {"vehiculos_catalogo": reports.build_catalogue(spark, globs)}
+
+
+def save(report: Mapping[str, DataFrame], *folders: str) -> None:
+    """Each part of a report as a CSV directory of its name, replaced as a whole.
+
+    With several folders a part is computed once and written to each.
+    """
     for name, part in report.items():
-        writers.write_csv(part, f"{folder}/{name}")
+        paths = [f"{folder}/{name}" for folder in folders]
+        if len(paths) > 1:
+            writers.write_each(part, paths)
+        else:
+            writers.write_csv(part, paths[0])
 
 
 def _path(path: str | None, what: str) -> str:

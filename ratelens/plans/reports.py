@@ -67,14 +67,18 @@ def named_scorecard(raw_ratings: DataFrame, raw_catalogue: DataFrame, label: str
 
     ``label`` says what stands in for a missing name: ``id`` (ID n), ``part`` (model or brand,
     else null) or ``unknown`` (a fixed word). With ``check_overlap``, tables without a common id
-    are an error instead of an empty result.
+    are an error instead of an empty result. The scorecard is then computed at once and stored:
+    it is empty exactly when no id is common, so the check costs no second pass over the ratings.
     """
     ratings, vehicles = frames.ratings_by_number(raw_ratings), frames.catalogue(raw_catalogue)
-    if check_overlap:
-        joins.require_overlap(ratings, "id_vehiculo", vehicles, "id_vehiculo")
     name = LABELS[label](F.col("marca"), F.col("modelo"), F.col("id_vehiculo"))
     labelled = vehicles.select("id_vehiculo", name.alias("vehiculo"), "anio")
-    return metrics.label_scorecard(ratings, labelled, hot_rows)
+    scores = metrics.label_scorecard(ratings, labelled, hot_rows)
+    if check_overlap:
+        scores = joins.stored(scores, "scorecard")
+        if scores.isEmpty():
+            raise joins.NoOverlap("no id of the ratings occurs in the catalogue")
+    return scores
 
 
 def full_catalogue_scorecard(raw_ratings: DataFrame, raw_catalogue: DataFrame,

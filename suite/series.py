@@ -51,7 +51,7 @@ SQL_DIRTY_STARS = """
 
 
 @case("rating_summary", f"""
-    select count(*) as total_calif, {half_up('avg(v)', 2)} as promedio_global
+    select count(*) as total_calif, round_even(avg(v), 2) as promedio_global
     from ({SQL_DIRTY_STARS})
 """)
 def rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,8 +148,7 @@ def top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case("review_summary", """
     select count(*) as total_resenas, count(distinct nullif(user_id, 7)) as total_usuarios,
-           cast(round(cast(count(*) as decimal(28, 12))
-                / greatest(count(distinct nullif(user_id, 7)), 1), 2) as double)
+           round_even(count(*) / greatest(count(distinct nullif(user_id, 7)), 1), 2)
                as promedio_resenas_usuario
     from events
 """)

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
 
+from ratelens.operators.joins import NoOverlap
 from ratelens.plans import dashboards, jobs, reports
 from ratelens.sources.readers import read_csv
 from ratelens.sources.writers import write_csv
@@ -102,3 +103,27 @@ def test_missing_inputs(spark, files):
         jobs.report_by_view(spark, "calificaciones")
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         jobs.report_by_view(spark, "calificaciones", f"{files}/nada.csv")
+
+
+def test_scorecard_to_two_places(spark, files):
+    report = jobs.scorecard(spark, f"{files}/calificaciones.csv", f"{files}/catalogo.csv", "unknown")
+    jobs.save(report, f"{files}/out", f"{files}/copy")
+    for folder in ("out", "copy"):
+        back = read_csv(spark, f"{files}/{folder}/vehiculos_agg")
+        assert sorted(rows(back), key=repr) == [
+            ("Desconocido", None, "N/A", "3.0", "1"), ("Fiat", "1999", "N/A", None, "1"),
+            ("Seat Ibiza", "2001", "N/A", "4.5", "2")]
+    (files / "otro.csv").write_text("id_vehiculo,marca,modelo,anio\n70,a,b,1\n")
+    with pytest.raises(NoOverlap):
+        jobs.scorecard(spark, f"{files}/calificaciones.csv", f"{files}/otro.csv")
+
+
+def test_whole_catalogue_and_catalogue_files(spark, files):
+    (files / "nombres.csv").write_text("id_vehiculo,vehiculo,anio\n7,Ibiza,2001\n5,Uno,\n")
+    report = jobs.whole_catalogue(spark, f"{files}/calificaciones.csv", f"{files}/nombres.csv")
+    assert rows(report["vehiculos_agg"]) == [
+        (7, "Ibiza", 4.5, 2, True), (5, "Uno", 0.0, 0, False)]
+    assert sorted(rows(report["cobertura"])) == [("calificaciones", 3, 2), ("catalogo", 2, 2)]
+    built = jobs.catalogue(spark, [f"{files}/catalogo*.csv", f"{files}/nada*.csv"])
+    assert sorted(rows(built["vehiculos_catalogo"]), key=repr) == [
+        ("7", "Seat", "Ibiza"), ("8", None, None), ("9", "Fiat", None)]

@@ -172,8 +172,14 @@ def test_users(spark):
 
 def test_rating_summary(spark):
     assert rows(metrics.rating_summary(ratings(spark, DATA), "calificacion")) == [(6, 3.5)]
-    half = ratings(spark, [(1, 1.0), (2, 1.005 * 2 - 1.0)])
-    assert rows(metrics.rating_summary(half, "calificacion")) == [(2, 1.01)]
+    eighths = ratings(spark, [(1, 3.0), (2, 3.25)])
+    assert rows(metrics.rating_summary(eighths, "calificacion")) == [(2, 3.12)]
+
+
+def test_scorecard_means_round_halves_up(spark):
+    eighths = ratings(spark, [(1, 3.0), (1, 3.25)])
+    labelled = spark.createDataFrame([(1, "a", 1)], "id_vehiculo long, vehiculo string, anio int")
+    assert metrics.label_scorecard(eighths, labelled).head()["promedio_calificacion"] == 3.13
 
 
 def test_counts(spark):

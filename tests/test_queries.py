@@ -6,6 +6,7 @@ import pytest
 from conftest import plan_of, rows
 
 import __spark_entry__ as entry
+from ratelens.operators import joins
 from suite.compare import differences, oracle
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -103,3 +104,20 @@ def test_reports_come_in_order(spark):
     assert days == sorted(days) and isinstance(days[0], datetime.date)
     scored = rows(entry.queries()["catalog_scorecard"](spark, SF_DIR))
     assert [r[2] for r in scored] == sorted((r[2] for r in scored), reverse=True)
+
+
+@pytest.mark.parametrize("name", [
+    "scorecard_label_id", "scorecard_duplicate_ids", "catalog_scorecard", "vehicle_scorecard",
+    "model_rating_by_text", "model_review_by_text", "brand_rollup"])
+def test_hot_keys_change_no_result(spark, duck, monkeypatch, name):
+    """Every key with two rows or more is treated as hot."""
+    split = []
+    find = joins.hot_keys
+
+    def find_small(df, key, min_rows):
+        split.append(find(df, key, 2 if "duplicate" in name or "model" in name else 1))
+        return split[-1]
+
+    monkeypatch.setattr(joins, "hot_keys", find_small)
+    assert differences(spark, duck, SF_DIR, name) == []
+    assert any(split)

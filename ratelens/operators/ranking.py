@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -99,21 +99,24 @@ def top_supported(df: DataFrame, n: int, at_least: int, mean: str = "promedio_ca
     return top(enough, n, rising(mean) if worst else falling(mean))
 
 
-def rank_of(scores: DataFrame, key: str, wanted: str, measures: Sequence[str]) -> DataFrame:
-    """Place of one vehicle by each measure, highest first: ``wanted``, ``rank_*``, ``n_total``.
+def rank_of(scores: DataFrame, key: str, wanted: str, measures: Mapping[str, str]) -> DataFrame:
+    """Place of one vehicle by each measure, highest first, and the number of rows, ``n_total``.
 
-    A place is one more than the number of rows above it, so ties share the better place and a
-    missing value comes after all others. An id that occurs more than once takes its best row; an
-    unknown id gives no row. Two aggregations, no sort: numbering all rows in order would send
-    the whole table through one task.
+    ``measures`` maps the name of a place to the column that decides it. A place is one more than
+    the number of rows above it, so ties share the better place and a missing value comes after
+    all others. An id that occurs more than once takes its best row; an unknown id gives no row.
+    Two aggregations, no sort: numbering all rows in order would send the whole table through one
+    task.
     """
     best = scores.where(same_text(scores, key, wanted)).agg(F.struct(
-        F.count(F.lit(1)).alias("_rows"), *[F.max(ref(m)).alias(m) for m in measures])).scalar()
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.max(ref(column)).alias(place) for place, column in measures.items()])).scalar()
     places = []
-    for m in measures:
-        value = best.getField(m)
-        above = F.when(value.isNull(), F.count(ref(m))).otherwise(F.count_if(ref(m) > value))
-        places.append((F.lit(1) + above).alias(f"rank_{m}"))
+    for place, column in measures.items():
+        value = best.getField(place)
+        above = F.when(value.isNull(), F.count(ref(column))).otherwise(
+            F.count_if(ref(column) > value))
+        places.append((F.lit(1) + above).alias(place))
     return (
         scores.agg(*places, F.count(F.lit(1)).alias("n_total"))
         .where(best.getField("_rows") > 0)

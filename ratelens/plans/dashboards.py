@@ -76,7 +76,10 @@ def vehicle_search(scores: DataFrame, query: str = "", order: str | None = None,
 
 
 def vehicle_detail(scores: DataFrame, wanted: str) -> dict[str, DataFrame]:
-    """One vehicle by exact id: its row, its measures as rows, its rank. Unknown id: no rows."""
+    """One vehicle by exact id: its row, its measures as rows, its rank. Unknown id: no rows.
+
+    The rank by number of ratings is by mean when the table has no such number.
+    """
     key, mean, reviews, ratings = _score_columns(scores)
     shown = [c for c in (key, mean, ratings, reviews) if c]
     renamed = project(scores, {
@@ -89,8 +92,8 @@ def vehicle_detail(scores: DataFrame, wanted: str) -> dict[str, DataFrame]:
             *[C.ref(c) for c in shown]),
         "metricas": metrics_long(
             renamed, key, wanted, ["promedio_calificacion", "n_calificaciones", "n_resenas"]),
-        "puesto": ranking.rank_of(
-            scores, key, wanted, [mean, ratings] if ratings else [mean]),
+        "puesto": ranking.rank_of(scores, key, wanted, {
+            "rank_promedio": mean, "rank_conteo": ratings or mean}),
     }
 
 

@@ -52,6 +52,8 @@ def ratings_by_number(raw: DataFrame) -> DataFrame:
     """
     key = pick(raw, ("carroid", *V.VEHICLE_ID), default=raw.columns[0], any_case=True)
     stars = must_pick(raw, ("estrellas", *V.RATING), "rating", any_case=True)
+    if key == stars:
+        raise MissingColumns(f"no vehicle id column, got {raw.columns}")
     return project(raw, {"id_vehiculo": C.whole(raw, key), "calificacion": C.number(raw, stars)})
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 EMPTY_CATALOGUE = T.StructType([
@@ -100,7 +101,7 @@ def source_total(spark: SparkSession, read_raw: Callable[[], DataFrame],
     for read in (read_raw, read_stored):
         try:
             return read().agg(F.count(F.lit(1)).alias("total"))
-        except AnalysisException:
+        except (PySparkException, Py4JError):
             continue
     return spark.range(1).select(F.lit(0).cast("bigint").alias("total"))
 

@@ -142,9 +142,8 @@ def vehicle_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     with {SQL_VEHICLES}, m as (select * from v where id_vehiculo = '42')
     select '42' as id_vehiculo,
            1 + count(*) filter (v.promedio_calificacion > m.promedio_calificacion)
-               as rank_promedio_calificacion,
-           1 + count(*) filter (v.n_calificaciones > m.n_calificaciones)
-               as rank_n_calificaciones,
+               as rank_promedio,
+           1 + count(*) filter (v.n_calificaciones > m.n_calificaciones) as rank_conteo,
            count(*) as n_total
     from v, m
 """)
@@ -152,18 +151,15 @@ def vehicle_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.vehicle_detail(vehicles(spark, sf_dir), "42")["puesto"]
 
 
-@case("vehicle_rank_two_measures", f"""
+@case("vehicle_rank_by_reviews", f"""
     with {SQL_VEHICLES}, m as (select * from v where id_vehiculo = '7')
-    select '7' as id_vehiculo,
-           1 + count(*) filter (v.n_resenas > m.n_resenas) as rank_n_resenas,
-           1 + count(*) filter (v.promedio_calificacion > m.promedio_calificacion)
-               as rank_promedio_calificacion,
+    select '7' as id_vehiculo, 1 + count(*) filter (v.n_resenas > m.n_resenas) as rank_resenas,
            count(*) as n_total
     from v, m
 """)
-def vehicle_rank_two_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.rank_of(vehicles(spark, sf_dir), "id_vehiculo", "7",
-                           ["n_resenas", "promedio_calificacion"])
+def vehicle_rank_by_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_of(
+        vehicles(spark, sf_dir), "id_vehiculo", "7", {"rank_resenas": "n_resenas"})
 
 
 # ---- best and worst with enough ratings --------------------------------------------------

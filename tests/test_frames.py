@@ -30,6 +30,8 @@ def test_ratings_by_number_with_an_unnamed_id(spark):
     assert rows(frames.ratings_by_number(raw)) == [(7, 4.0), (None, 5.0)]
     with pytest.raises(MissingColumns, match="rating"):
         frames.ratings_by_number(raw.select("_c0"))
+    with pytest.raises(MissingColumns, match="vehicle id"):
+        frames.ratings_by_number(raw.select("ESTRELLAS"))
 
 
 def test_catalogue_in_any_case(spark):

@@ -91,7 +91,7 @@ def test_top_supported(spark):
 def test_rank(scores):
     def rank(wanted):
         return rows(ranking.rank_of(
-            scores, "id_vehiculo", wanted, ["promedio_calificacion", "n_resenas"]))
+            scores, "id_vehiculo", wanted, {"r": "promedio_calificacion", "c": "n_resenas"}))
 
     assert rank("a") == [("a", 1, 3, 5)]
     assert rank("b") == [("b", 1, 1, 5)]
@@ -103,7 +103,7 @@ def test_rank(scores):
 
 def test_rank_of_a_repeated_id_is_its_best(spark):
     scores = spark.createDataFrame([(1, 2.0), (1, 5.0), (2, 4.0)], "k long, m double")
-    assert rows(ranking.rank_of(scores, "k", "1", ["m"])) == [("1", 1, 3)]
+    assert rows(ranking.rank_of(scores, "k", "1", {"m": "m"})) == [("1", 1, 3)]
 
 
 def test_metrics_long(scores):

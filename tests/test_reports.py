@@ -152,7 +152,7 @@ def test_vehicle_search_and_detail(scores):
     unknown = dashboards.vehicle_detail(scores, "99")
     assert all(part.isEmpty() for part in unknown.values())
     few = dashboards.vehicle_detail(scores.select("id_vehiculo", "promedio_calificacion"), "1")
-    assert rows(few["puesto"]) == [("1", 2, 4)]
+    assert rows(few["puesto"]) == [("1", 2, 2, 4)]
     assert rows(few["metricas"])[1:] == [("1", "n_calificaciones", 0.0), ("1", "n_resenas", 0.0)]
 
 

@@ -90,6 +90,9 @@ def test_source_total_falls_back(spark, folder):
     assert rows(readers.source_total(spark, lambda: spark.range(3), missing)) == [(3,)]
     assert rows(readers.source_total(spark, missing, lambda: spark.range(2))) == [(2,)]
     assert rows(readers.source_total(spark, missing, missing)) == [(0,)]
+    bad = put(folder, "bad.parquet", "no table")
+    assert rows(readers.source_total(
+        spark, lambda: readers.read_table(spark, bad), lambda: spark.range(2))) == [(2,)]
 
 
 def test_freshness(spark, folder):

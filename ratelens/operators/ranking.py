@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,14 +63,26 @@ def named_order(df: DataFrame, name: str, copies: bool = False) -> DataFrame:
     return report_order(df, *keys, copies=copies)
 
 
-def column_order(df: DataFrame, column: str, default: str, ascending: bool = False) -> DataFrame:
-    """Sort by any column of the table; an unknown one gives way to the default."""
+def column_order(df: DataFrame, shown: Sequence[str], column: str, default: str,
+                 ascending: bool = False, n: int | None = None) -> DataFrame:
+    """The shown columns, sorted by any column of the table, or by the default if it has no such.
+
+    With ``n`` only the first rows. Columns neither shown nor sorted by are dropped before the
+    sort, so they are not even read.
+    """
     chosen = column if column in df.columns else default
-    return report_order(df, rising(chosen) if ascending else falling(chosen))
+    narrow = df.select(*[ref(c) for c in dict.fromkeys([*shown, chosen])])
+    ordered = report_order(narrow, rising(chosen) if ascending else falling(chosen))
+    if n is not None:
+        ordered = ordered.limit(n)
+    return ordered.select(*[ref(c) for c in shown])
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The first n rows; Spark keeps n rows per task and never sorts the whole table."""
+    """The first n rows; Spark keeps n rows per task and never sorts the whole table.
+
+    Select the columns to show first: all columns take part in deciding ties.
+    """
     return report_order(df, *order).limit(n)
 
 
@@ -82,11 +94,6 @@ def clamp_top(asked: object) -> int:
         return DEFAULT_TOP
 
 
-def page(df: DataFrame) -> DataFrame:
-    """The part of a sorted table that one page shows."""
-    return df.limit(PAGE_ROWS)
-
-
 def supported(df: DataFrame, count: str, at_least: int) -> DataFrame:
     """Groups with enough rows behind them."""
     return df.where(ref(count) >= at_least)

@@ -6,6 +6,8 @@ shows. Lists are cut by ``limit`` only where the page itself is a top list.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from ratelens import vocabulary as V
@@ -25,12 +27,12 @@ def vehicles_page(raw_scores: DataFrame, query: str = "", order: str = V.BEST,
     """All matching vehicles in a named order, the first n of that order, the n most reviewed."""
     scores = frames.stored_scorecard(raw_scores)
     found = search(scores, C.ref("vehiculo_label"), query)
-    chart = ("vehiculo_label", "promedio_calificacion", "n_resenas")
+    chart = found.select("vehiculo_label", "promedio_calificacion", "n_resenas")
     return {
         "vehiculos": ranking.named_order(found, order, copies=True),
-        "top": ranking.named_order(found, order).limit(n).select(*chart),
-        "top_resenas": ranking.top(found, n, ranking.falling("n_resenas")).select(
-            "vehiculo_label", "n_resenas"),
+        "top": ranking.named_order(chart, order).limit(n),
+        "top_resenas": ranking.top(
+            found.select("vehiculo_label", "n_resenas"), n, ranking.falling("n_resenas")),
     }
 
 
@@ -40,13 +42,15 @@ def vehicle_list(raw_scores: DataFrame, query: str = "", order: str = "promedio_
     """Matching vehicles by any column: their number, the first page, the chart."""
     scores = frames.stored_scorecard(raw_scores)
     found = search(scores, C.ref("vehiculo_label"), query)
-    listed = ranking.column_order(
-        found, order, "promedio_calificacion", direction == V.ASCENDING)
+
+    def listed(shown: Sequence[str], n: int) -> DataFrame:
+        return ranking.column_order(
+            found, shown, order, "promedio_calificacion", direction == V.ASCENDING, n)
+
     return {
         "total": metrics.table_size(found),
-        "tabla": ranking.page(listed),
-        "grafica": listed.limit(ranking.clamp_top(top)).select(
-            "vehiculo_label", "promedio_calificacion"),
+        "tabla": listed(found.columns, ranking.PAGE_ROWS),
+        "grafica": listed(["vehiculo_label", "promedio_calificacion"], ranking.clamp_top(top)),
     }
 
 
@@ -65,13 +69,13 @@ def vehicle_search(scores: DataFrame, query: str = "", order: str | None = None,
     """Vehicles whose id contains the query, by any column, highest first."""
     key, mean, reviews, ratings = _score_columns(scores)
     found = search(scores, C.ref(key), query)
-    listed = ranking.column_order(found, (order or mean).lower(), mean)
+    wanted = (order or mean).lower()
     shown = [c for c in (key, mean, ratings, reviews) if c]
+    chart = ranking.column_order(found, [key, mean], wanted, mean, n=n)
     return {
         "total": metrics.table_size(found),
-        "tabla": listed.select(*[C.ref(c) for c in shown]),
-        "grafica": listed.limit(n).select(
-            C.text(C.ref(key)).alias("vehiculo_label"), C.ref(mean)),
+        "tabla": ranking.column_order(found, shown, wanted, mean),
+        "grafica": chart.select(C.text(C.ref(key)).alias("vehiculo_label"), C.ref(mean)),
     }
 
 

@@ -16,35 +16,35 @@ RATINGS, REVIEWS, VEHICLES, AUTOS, USERS = (
 
 
 def report_by_view(spark: SparkSession, view: str, ratings: str | None = None,
-                   reviews: str | None = None) -> dict[str, DataFrame]:
+                   reviews: str | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
     """The report of one view, from CSV paths; any other name than the first two is vehicles.
 
-    A path the view does not need may be left out.
+    A path the view does not need may be left out. ``multi_line`` is for reviews whose text holds
+    line breaks; each of their files is then read by one task.
     """
     wanted = view.strip().lower()
     if wanted == RATINGS:
-        return reports.ratings_report(read_csv(spark, _path(ratings, RATINGS)), one_pass=True)
+        return reports.ratings_report(_read(spark, ratings, RATINGS), one_pass=True)
     if wanted == REVIEWS:
-        return reports.reviews_report(
-            read_csv(spark, _path(reviews, REVIEWS), multi_line=True))
+        return reports.reviews_report(_read(spark, reviews, REVIEWS, multi_line))
     return {"vehiculos_agg": reports.vehicles_report(
-        read_csv(spark, _path(ratings, RATINGS)),
-        read_csv(spark, _path(reviews, REVIEWS), multi_line=True))}
+        _read(spark, ratings, RATINGS), _read(spark, reviews, REVIEWS, multi_line))}
 
 
 def report_by_type(spark: SparkSession, kind: str, autos: str, ratings: str | None = None,
-                   reviews: str | None = None, users: str | None = None) -> dict[str, DataFrame]:
+                   reviews: str | None = None, users: str | None = None,
+                   multi_line: bool = False) -> dict[str, DataFrame]:
     """Ratings or reviews per catalogue model, the catalogue, or the users; other names fail."""
     if kind == RATINGS:
         return {"salida_mejores_calificados": reports.ratings_by_model(
-            read_csv(spark, _path(ratings, RATINGS)), read_csv(spark, autos))}
+            _read(spark, ratings, RATINGS), read_csv(spark, autos))}
     if kind == REVIEWS:
         return {"salida_resenas": reports.reviews_by_model(
-            read_csv(spark, _path(reviews, REVIEWS), multi_line=True), read_csv(spark, autos))}
+            _read(spark, reviews, REVIEWS, multi_line), read_csv(spark, autos))}
     if kind == AUTOS:
         return {"salida_autos": reports.catalogue_listing(read_csv(spark, autos))}
     if kind == USERS:
-        return {"salida_usuarios": read_csv(spark, _path(users, USERS))}
+        return {"salida_usuarios": _read(spark, users, USERS)}
     raise ValueError(f"unknown report {kind!r}")
 
 
@@ -82,7 +82,8 @@ def save(report: Mapping[str, DataFrame], *folders: str) -> None:
             writers.write_csv(part, paths[0])
 
 
-def _path(path: str | None, what: str) -> str:
+def _read(spark: SparkSession, path: str | None, what: str,
+          multi_line: bool = False) -> DataFrame:
     if path is None:
         raise ValueError(f"this report needs the path of {what}")
-    return path
+    return read_csv(spark, path, multi_line=multi_line)

@@ -50,8 +50,8 @@ def test_ratings_to_page(spark, files):
 
 
 def test_reviews_to_page(spark, files):
-    jobs.save(jobs.report_by_view(spark, "resenas", reviews=f"{files}/resenas.csv"),
-              f"{files}/out")
+    jobs.save(jobs.report_by_view(
+        spark, "resenas", reviews=f"{files}/resenas.csv", multi_line=True), f"{files}/out")
     users = read_csv(spark, f"{files}/out/usuarios_agg",
                      "usuario string, n_resenas bigint, longitud_media_resena double")
     assert rows(users) == [("ana", 2, 15.0), ("luz", 1, 2.0)]
@@ -61,7 +61,7 @@ def test_reviews_to_page(spark, files):
 
 def test_vehicles_to_detail(spark, files):
     report = jobs.report_by_view(
-        spark, "otra", f"{files}/calificaciones.csv", f"{files}/resenas.csv")
+        spark, "otra", f"{files}/calificaciones.csv", f"{files}/resenas.csv", multi_line=True)
     jobs.save(report, f"{files}/out")
     scores = read_csv(
         spark, f"{files}/out/vehiculos_agg",
@@ -87,7 +87,7 @@ def test_reports_by_type(spark, files):
              "reviews": f"{files}/resenas.csv", "users": f"{files}/catalogo.csv"}
 
     def made(kind):
-        (part,) = jobs.report_by_type(spark, kind, **paths).values()
+        (part,) = jobs.report_by_type(spark, kind, **paths, multi_line=True).values()
         return rows(part)
 
     assert made("calificaciones") == [("7", 4.5, 2), (None, 2.5, 3)]

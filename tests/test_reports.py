@@ -1,7 +1,8 @@
 import datetime
+import re
 
 import pytest
-from conftest import rows, unordered
+from conftest import plan_of, rows, unordered
 
 from ratelens.operators.joins import NoOverlap
 from ratelens.plans import dashboards, reports
@@ -198,6 +199,41 @@ def test_vehicle_pages(spark):
     assert rows(listed["grafica"]) == [("Uno", 5.0)]
 
 
+def test_table_page_holds_500_rows(spark):
+    stored = spark.range(1200).selectExpr("concat('m', id) as modelo", "id as n_resenas")
+    listed = dashboards.vehicle_list(stored, order="n_resenas", direction="asc")
+    assert [r[1] for r in rows(listed["tabla"])] == list(range(500))
+    assert listed["grafica"].count() == 20
+
+
+def test_charts_read_only_what_they_show(spark, tmp_path):
+    wide = spark.range(10).selectExpr(
+        "id as id_vehiculo", "1.0D as promedio_calificacion", "id as n_resenas",
+        "id as n_calificaciones", "'x' as marca", "'long text' as otro")
+    wide.write.parquet(f"{tmp_path}/wide")
+    stored = spark.read.parquet(f"{tmp_path}/wide")
+    plans = {
+        "promedio": dashboards.vehicle_search(stored)["grafica"],
+        "otro": dashboards.vehicle_search(stored, order="otro")["grafica"],
+        "resenas": dashboards.brand_detail(stored, "x")["top_resenas"],
+        "detalle": dashboards.vehicle_detail(stored, "7")["detalle"],
+        "vehiculos": dashboards.vehicles_page(
+            stored.withColumnRenamed("id_vehiculo", "vehiculo"))["top_resenas"],
+    }
+    read = {name: re.findall("ReadSchema: struct<(.*)>", plan_of(df)) for name, df in plans.items()}
+    key, mean, n = "id_vehiculo:bigint", "promedio_calificacion:double", "n_resenas:bigint"
+    assert read == {
+        "promedio": [f"{key},{mean}"],
+        "otro": [f"{key},{mean},otro:string"],
+        "resenas": [f"{key},{n},marca:string"],
+        "detalle": [f"{key},{mean},{n},n_calificaciones:bigint"],
+        "vehiculos": [f"{key},{n}"],
+    }
+    assert "PushedFilters: [IsNotNull(id_vehiculo), EqualTo(id_vehiculo,7)]" in plan_of(
+        plans["detalle"])
+    assert "EqualTo(marca,x)" in plan_of(plans["resenas"])
+
+
 def test_ratings_and_reviews_pages(spark, raw_ratings, raw_reviews):
     page = dashboards.ratings_page(raw_ratings)
     assert rows(page["resumen"]) == [(5, 4.17)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,17 +69,19 @@ def catalogue(spark: SparkSession, globs: Sequence[str]) -> dict[str, DataFrame]
     return {"vehiculos_catalogo": reports.build_catalogue(spark, globs)}
 
 
-def save(report: Mapping[str, DataFrame], *folders: str) -> None:
-    """Each part of a report as a CSV directory of its name, replaced as a whole.
+def save(report: Mapping[str, DataFrame], *folders: str,
+         write: Callable[[DataFrame, str], None] = writers.write_csv) -> None:
+    """Each part of a report in a directory of its name, replaced as a whole.
 
-    With several folders a part is computed once and written to each.
+    With several folders a part is computed once and written to each. ``write`` may be
+    ``writers.write_table`` for Parquet, the better choice when Spark reads the result again.
     """
     for name, part in report.items():
         paths = [f"{folder}/{name}" for folder in folders]
         if len(paths) > 1:
-            writers.write_each(part, paths)
+            writers.write_each(part, paths, write)
         else:
-            writers.write_csv(part, paths[0])
+            write(part, paths[0])
 
 
 def _read(spark: SparkSession, path: str | None, what: str,

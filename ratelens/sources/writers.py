@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -50,12 +50,13 @@ def write_sorted(df: DataFrame, path: str, *order: Column, copies: bool = False)
     write_csv(report_order(df, *order, copies=copies), path)
 
 
-def write_each(df: DataFrame, csv_paths: Sequence[str]) -> None:
+def write_each(df: DataFrame, paths: Sequence[str],
+               write: Callable[[DataFrame, str], None] = write_csv) -> None:
     """The same result to several places, computed once."""
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for path in csv_paths:
-            write_csv(df, path)
+        for path in paths:
+            write(df, path)
     finally:
         df.unpersist()
 

@@ -6,8 +6,8 @@ from pyspark.errors import AnalysisException
 
 from ratelens.operators.joins import NoOverlap
 from ratelens.plans import dashboards, jobs, reports
-from ratelens.sources.readers import read_csv
-from ratelens.sources.writers import write_csv
+from ratelens.sources.readers import read_csv, read_table
+from ratelens.sources.writers import write_csv, write_table
 
 RATINGS = """,estrellas,creado_en
 7,5,2024-01-02 10:00:00
@@ -118,6 +118,16 @@ def test_scorecard_to_two_places(spark, files):
         jobs.scorecard(spark, f"{files}/calificaciones.csv", f"{files}/otro.csv")
 
 
+def test_report_as_parquet(spark, files):
+    report = jobs.report_by_view(spark, "calificaciones", f"{files}/calificaciones.csv")
+    jobs.save(report, f"{files}/p", f"{files}/q", write=write_table)
+    for name, part in report.items():
+        for folder in "pq":
+            stored = read_table(spark, f"{files}/{folder}/{name}")
+            assert stored.dtypes == part.dtypes
+            assert sorted(rows(stored), key=repr) == sorted(rows(part), key=repr)
+
+
 def test_whole_catalogue_and_catalogue_files(spark, files):
     (files / "nombres.csv").write_text("id_vehiculo,vehiculo,anio\n7,Ibiza,2001\n5,Uno,\n")
     report = jobs.whole_catalogue(spark, f"{files}/calificaciones.csv", f"{files}/nombres.csv")

@@ -27,8 +27,8 @@ def unordered(df):
     return sorted(rows(df), key=repr)
 
 
-def plan_of(df):
+def plan_of(df, mode="formatted"):
     """The text that ``explain`` prints."""
     with contextlib.redirect_stdout(io.StringIO()) as printed:
-        df.explain("formatted")
+        df.explain(mode)
     return printed.getvalue()

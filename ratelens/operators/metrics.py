@@ -69,10 +69,10 @@ def vehicle_reviews(reviews: DataFrame) -> DataFrame:
 def ratings_and_reviews(ratings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Every vehicle that has a rating or a review, with the measures of both.
 
-    Both sides are aggregated by id, so the outer join reuses their partitioning. Rows without id
-    stay apart, one from each side. Ids of different types meet as text. Review measures are 0 where a vehicle has none; the mean and
-    number of ratings stay null where nothing was rated. Reviews without an id column cannot be
-    assigned to vehicles and count as none.
+    Both sides are aggregated by id, so the outer join reuses their partitioning. Ids of different
+    types meet as text. Rows without id stay apart, one from each side. Review measures are 0 where
+    a vehicle has none; the mean and number of ratings stay null where nothing was rated. Reviews
+    without an id column cannot be assigned to vehicles and count as none.
     """
     rated = vehicle_ratings(ratings)
     if "id_vehiculo" not in reviews.columns:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratelens.functions import convert as C
 from ratelens.operators import metrics, ranking
 from ratelens.operators.sampling import hash_sample
-from ratelens.plans import dashboards, reports
+from ratelens.plans import dashboards, jobs, reports
 from ratelens.sources import frames, names, readers, writers
 from ratelens.sources.shared import new_folder
 from suite.cases import SQL_RATINGS, case, half_up, ratings, reviews, table
@@ -71,6 +71,17 @@ def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path, "username string, n_resenas bigint")
 
 
+@case("two_places", """
+    select cast(ts as date) as fecha_d, count(*) as n_resenas from events group by 1
+""")
+def two_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report saved to two folders; the second is read back."""
+    first, second = new_folder(spark, "first"), new_folder(spark, "second")
+    report = reports.reviews_report(reviews(spark, sf_dir))
+    jobs.save({"resenas_diarias": report["resenas_diarias"]}, first, second)
+    return readers.read_csv(spark, f"{second}/resenas_diarias", "fecha_d date, n_resenas bigint")
+
+
 @case("stored_histogram", """
     select ceil(l_quantity / 10) as calificacion, count(*) as n from lineitem group by 1
 """)

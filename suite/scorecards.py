@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratelens.operators import joins, metrics, ranking
 from ratelens.plans import dashboards, reports
-from ratelens.sources import frames
+from ratelens.sources import frames, writers
 from suite.cases import (
     SQL_GAPPY, SQL_RATINGS, SQL_REVIEWS, case, catalogue, gappy_catalogue, half_up, json_id,
     ratings, reviews, rounded, stars, table,
@@ -79,6 +79,36 @@ def scorecard_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.named_scorecard(ratings(spark, sf_dir), twice, "id", check_overlap=False)
 
 
+SQL_ONE_ID = """
+    select case when p_size <= 17 then 7 else p_partkey end as id, p_brand as b, p_name as m,
+           p_size as anio
+    from part
+"""
+
+
+def one_id_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the catalogue rows carry the same id."""
+    return catalogue(spark, sf_dir).withColumn(
+        "id_vehiculo", F.when(F.col("anio") <= 17, 7).otherwise(F.col("id_vehiculo")))
+
+
+@case("scorecard_hot_id", _label_sql(SQL_LABEL_ID, SQL_ONE_ID))
+def scorecard_hot_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ids with 50 rows or more are joined apart; normally a million is hot."""
+    return reports.named_scorecard(
+        ratings(spark, sf_dir), one_id_catalogue(spark, sf_dir), "id", check_overlap=False,
+        hot_rows=50)
+
+
+@case("scorecard_preview", f"""
+    with s as ({_label_sql(SQL_LABEL_ID, SQL_FULL)})
+    select * from s order by n_resenas desc, vehiculo, anio limit 5
+""")
+def scorecard_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = scorecard_named(spark, sf_dir)
+    return writers.preview(scores, 5, ranking.falling("n_resenas"))
+
+
 # ---- whole catalogue, rated or not -------------------------------------------------------
 
 SQL_STAR_EVENTS = """
@@ -118,6 +148,43 @@ def catalog_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scored, 6, "promedio_calificacion")
 
 
+@case("catalog_scorecard_hot_id", f"""
+    with a as (select id, avg(stars) as mean, count(*) as n
+               from ({SQL_STAR_EVENTS}) where stars is not null group by id),
+    c as (select case when p_size <= 17 then 7 when p_size > 45 then null else p_partkey end as k,
+                 p_name
+          from part)
+    select k as id_vehiculo, p_name as vehiculo_label,
+           coalesce({half_up('mean', 6)}, 0.0) as promedio_calificacion,
+           coalesce(n, 0) as n_resenas, n is not null as calificado
+    from c left join a on k = id
+""")
+def catalog_scorecard_hot_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows under one id, others without id, many of them alike."""
+    hot = named_parts(spark, sf_dir).withColumn(
+        "id_vehiculo",
+        F.when(F.col("anio") <= 17, 7).when(F.col("anio") <= 45, F.col("id_vehiculo")))
+    scored = reports.full_catalogue_scorecard(star_events(spark, sf_dir), hot, hot_rows=50)
+    return rounded(scored, 6, "promedio_calificacion")
+
+
+@case("catalog_scorecard_copies", f"""
+    with a as (select id, avg(stars) as mean, count(*) as n
+               from ({SQL_STAR_EVENTS}) where stars is not null group by id),
+    c as (select * from part union all select * from part union all select * from part)
+    select p_partkey as id_vehiculo, p_name as vehiculo_label,
+           coalesce({half_up('mean', 6)}, 0.0) as promedio_calificacion,
+           coalesce(n, 0) as n_resenas, n is not null as calificado
+    from c left join a on p_partkey = id
+""")
+def catalog_scorecard_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every catalogue row three times; all of them are kept."""
+    once = named_parts(spark, sf_dir)
+    scored = reports.full_catalogue_scorecard(
+        star_events(spark, sf_dir), once.unionByName(once).unionByName(once))
+    return rounded(scored, 6, "promedio_calificacion")
+
+
 @case("coverage_counts", f"""
     select 'catalogo' as tabla, count(*) as n_filas, count(distinct p_partkey) as n_claves
     from part
@@ -243,6 +310,22 @@ def model_review_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.reviews_by_model(raw, spelled_models(spark, sf_dir))
 
 
+@case("model_rating_hot_name", f"""
+    with r as (select {_raw_name_sql('l_suppkey')} as raw, ceil(l_quantity / 10) as stars
+               from lineitem),
+    c as ({SQL_MODELS})
+    select "Model", {half_up('avg(stars)', 6)} as promedio_calificacion,
+           count(*) as total_calificaciones
+    from r left join c on lower(trim(raw)) = lower(trim("Model")) group by 1
+""")
+def model_rating_hot_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with two spellings or more are joined apart."""
+    raw = table(spark, sf_dir, "lineitem").select(
+        _raw_name("l_suppkey").alias("carroId"), stars().alias("estrellas"))
+    return rounded(reports.ratings_by_model(raw, spelled_models(spark, sf_dir), hot_rows=2), 6,
+                   "promedio_calificacion")
+
+
 @case("model_rating_one_spelling", f"""
     with r as (select {_raw_name_sql('l_suppkey')} as raw, ceil(l_quantity / 10) as stars
                from lineitem),
@@ -389,6 +472,11 @@ def brand_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         dashboards.brands_page(scores(spark, sf_dir), query="brand#1[0-5]$")["tabla"])
 
 
+@case("brand_one_pass", f"with {SQL_BRANDS} select * from g")
+def brand_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _brand_round(dashboards.brands_page(scores(spark, sf_dir), one_pass=True)["tabla"])
+
+
 @case("brand_total", f"with {SQL_BRANDS} select count(*) as total from g")
 def brand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.brands_page(scores(spark, sf_dir))["total"]

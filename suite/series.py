@@ -91,6 +91,14 @@ def daily_reviews_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.reviews_report(raw)["resenas_diarias"]
 
 
+@case("monthly_ratings_one_pass", """
+    select strftime(l_shipdate, '%Y-%m') as ym, count(*) as n_calif from lineitem group by 1
+""")
+def monthly_ratings_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the counts per star and month, which give the histogram too."""
+    return reports.ratings_report(ratings(spark, sf_dir), one_pass=True)["calificaciones_mensual"]
+
+
 # ---- users -------------------------------------------------------------------------------
 
 @case("user_activity", f"""
@@ -157,6 +165,18 @@ def review_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.reviews_page(raw)["resumen"]
 
 
+@case("review_summary_one_pass", """
+    select count(*) as total_resenas, count(distinct nullif(user_id, 7)) as total_usuarios,
+           round_even(count(*) / greatest(count(distinct nullif(user_id, 7)), 1), 2)
+               as promedio_resenas_usuario
+    from events
+""")
+def review_summary_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the counts per user, which give the busiest users too."""
+    raw = reviews(spark, sf_dir).withColumn("username", F.nullif("username", F.lit("7")))
+    return dashboards.reviews_page(raw, one_pass=True)["resumen"]
+
+
 # ---- statistics of a table ---------------------------------------------------------------
 
 def _profile_sql(table_name: str, column: str, digits: int) -> str:

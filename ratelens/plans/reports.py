@@ -15,6 +15,9 @@ from ratelens.sources import frames
 from ratelens.sources.names import MissingColumns, must_pick, pick, project
 from ratelens.sources.readers import empty_catalogue, read_csv_groups
 
+# The most rows a sample may have to be broadcast.
+BROADCAST_ROWS = 100_000
+
 
 def ratings_report(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
     """Star histogram and, when the ratings are dated, their monthly series.
@@ -140,22 +143,26 @@ def sampled_catalogue(autos: DataFrame, ratings: DataFrame, key: str, fraction:
     """A repeatable sample of the catalogue with the real ratings of the drawn vehicles.
 
     ``autos`` has the key, ``Model``, ``Year`` and ``Status``; ``ratings`` has ``id_vehiculo``
-    and ``calificacion``. The sample holds at most ``at_most`` rows, which makes it safe to
-    broadcast: ratings of other vehicles are dropped before anything is shuffled. The sample is
-    stored, so the catalogue is read once.
+    and ``calificacion``. The sample is stored, so the catalogue is read once. Its ids are at most
+    ``at_most`` rows; up to 100,000 they are broadcast, and ratings of other vehicles are dropped
+    before anything is shuffled. For a larger sample all ratings are aggregated first.
     """
     drawn = joins.stored(hash_sample(project(autos, {
         "id_vehiculo": key, "vehiculo": "Model", "anio": "Year", "estado": "Status",
     }), ["id_vehiculo"], fraction, seed, at_most), "sample")
-    wanted = F.broadcast(drawn.select("id_vehiculo").distinct())
-    scores = metrics.vehicle_ratings(ratings.join(wanted, "id_vehiculo", "left_semi"))
-    # The scores hold one row for each drawn id at most, so they are as small as the sample.
-    scored = drawn.join(F.broadcast(scores), "id_vehiculo", "left").select(
+    small = at_most <= BROADCAST_ROWS
+    if small:
+        wanted = F.broadcast(drawn.select("id_vehiculo").distinct())
+        ratings = ratings.join(wanted, "id_vehiculo", "left_semi")
+    scores = metrics.vehicle_ratings(ratings).where(F.col("id_vehiculo").isNotNull())
+    join = DataFrame.join if small else joins.lookup_join
+    scored = join(drawn, scores, "id_vehiculo", "left").select(
         "vehiculo", "anio", "estado",
         F.round(F.coalesce("promedio_calificacion", F.lit(0.0)), 2).alias("promedio_calificacion"),
         F.coalesce("n_calificaciones", F.lit(0)).alias("n_resenas"),
     )
-    return ranking.report_order(scored, ranking.falling("promedio_calificacion"))
+    return ranking.report_order(
+        scored, ranking.falling("promedio_calificacion"), copies=not small)
 
 
 def catalogue_from(raw: DataFrame) -> DataFrame:

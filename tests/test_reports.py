@@ -106,7 +106,7 @@ def test_reports_by_model(spark):
     assert profile["describe"].count() == 5
 
 
-def test_sampled_catalogue_keeps_unrated(spark):
+def test_sampled_catalogue_keeps_unrated(spark, monkeypatch):
     autos = spark.range(3000).selectExpr(
         "id", "concat('m', id) as Model", "2000 as Year", "'ok' as Status")
     ratings = spark.range(9000).selectExpr("id % 1500 as id_vehiculo", "4.0D as calificacion")
@@ -114,6 +114,8 @@ def test_sampled_catalogue_keeps_unrated(spark):
     assert len(made) == 100
     assert {r[3:] for r in made} == {(4.0, 6), (0.0, 0)}
     assert [r[3] for r in made] == sorted((r[3] for r in made), reverse=True)
+    monkeypatch.setattr(reports, "BROADCAST_ROWS", 10)
+    assert rows(reports.sampled_catalogue(autos, ratings, "id", at_most=100)) == made
 
 
 def test_catalogue_from(spark):

@@ -19,8 +19,6 @@ NAMED_ORDERS = {
 }
 # Limits of the vehicle list.
 DEFAULT_TOP, LARGEST_TOP, PAGE_ROWS = 20, 50, 500
-# Copies of one row are sorted in pieces of at most so many.
-PIECE_ROWS = 100_000
 
 
 def falling(name: str) -> Column:
@@ -37,21 +35,12 @@ def report_order(df: DataFrame, *order: Column, copies: bool = False) -> DataFra
     The second part makes the order of ties the same in every run and lets the range sort spread
     rows that share a hot value over many tasks. Rows that are alike in every column it cannot
     spread; ``copies`` says that the table may hold many of them, as a catalogue with repeated
-    rows may. They are then counted, sorted as pieces of limited size, and repeated again. A
-    grouped table has no copies and is spared that extra shuffle.
+    rows may. Such rows are then sorted by the number of the partition they come from, which
+    changes nothing in the result. A task that runs again finds the same rows and the same
+    number, so this is safe when an executor is lost, as a running row number would not be.
     """
-    if not copies:
-        return df.orderBy(*order, *[rising(c) for c in df.columns])
-    columns = [ref(c) for c in df.columns]
-    piece, size = F.col("_piece"), F.lit(PIECE_ROWS)
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    last = F.floor((F.col("_copies") - 1) / size)
-    pieces = counted.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_piece"))
-    sized = pieces.withColumn("_size", F.least(size, F.col("_copies") - piece * size).cast("int"))
-    ordered = sized.orderBy(*order, *[rising(c) for c in df.columns], piece)
-    again = F.explode(F.array_repeat(F.lit(0), F.col("_size"))).alias("_again")
-    return ordered.select(*columns, again).select(*columns)
+    last = [F.spark_partition_id()] if copies else []
+    return df.orderBy(*order, *[rising(c) for c in df.columns], *last)
 
 
 def named_order(df: DataFrame, name: str, copies: bool = False) -> DataFrame:

@@ -107,15 +107,15 @@ def source_total(spark: SparkSession, read_raw: Callable[[], DataFrame],
 
 
 def freshness(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file with size and time of last change.
+    """One row per file with size and time of last change; no rows for a missing path.
 
     Spark's file listing answers this; the content column is not selected, so no file is opened.
     """
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select(
-            F.regexp_extract("path", r"([^/]+)$", 1).alias("archivo"),
-            F.col("length").alias("n_bytes"),
-            F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss").alias("modificado"),
-        )
+    files = or_empty(
+        lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path),
+        spark, "path string, modificationTime timestamp, length bigint")
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("archivo"),
+        F.col("length").alias("n_bytes"),
+        F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss").alias("modificado"),
     )

@@ -28,30 +28,30 @@ def test_unknown_order_leaves_rows_as_they_are(scores):
     assert ranking.named_order(scores, "otro") is scores
 
 
-@pytest.mark.parametrize("piece", [1, 3, 100_000])
-def test_copies_are_sorted_in_pieces(spark, scores, monkeypatch, piece):
-    monkeypatch.setattr(ranking, "PIECE_ROWS", piece)
-    copied = scores.withColumnRenamed("n_resenas", "col")
+def test_copies_are_all_kept_in_order(spark, scores):
+    copied = scores
     for _ in range(3):
         copied = copied.unionByName(copied)
-    copied = copied.unionByName(copied.where("id_vehiculo = 'c'"))
+    copied = copied.unionByName(copied.where("id_vehiculo = 'c'")).repartition(7)
     order = ranking.falling("promedio_calificacion")
     expected = rows(ranking.report_order(copied, order))
     assert len(expected) == 48
-    assert rows(ranking.report_order(copied, order, copies=True)) == expected
+    made = ranking.report_order(copied, order, copies=True)
+    assert made.columns == scores.columns
+    assert rows(made) == expected
 
 
-def test_copies_spread_over_tasks(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "PIECE_ROWS", 100)
+@pytest.mark.parametrize("copies", [True, False])
+def test_copies_spread_over_tasks(spark, copies):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    same = spark.range(8000).selectExpr("1 as a", "'x' as b")
-    made = ranking.report_order(same, ranking.falling("a"), copies=True)
+    same = spark.range(0, 8000, 1, 8).selectExpr("id < 0 as a", "'x' || (id < 0) as b")
+    made = ranking.report_order(same, ranking.falling("a"), copies=copies)
     try:
         sizes = [n for (n,) in rows(
             made.groupBy(F.spark_partition_id().alias("p")).count().select("count"))]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert sum(sizes) == 8000 and max(sizes) < 4000
+    assert sum(sizes) == 8000 and (max(sizes) < 3000 if copies else max(sizes) == 8000)
 
 
 def test_column_order(scores):

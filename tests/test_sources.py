@@ -101,6 +101,8 @@ def test_freshness(spark, folder):
     found = unordered(readers.freshness(spark, folder))
     assert [r[:2] for r in found] == [("a.csv", 4), ("b.csv", 5)]
     assert all(len(r[2]) == 19 for r in found)
+    missing = readers.freshness(spark, f"{folder}/nothing")
+    assert rows(missing) == [] and missing.dtypes == readers.freshness(spark, folder).dtypes
 
 
 def test_table_by_month(spark, folder):

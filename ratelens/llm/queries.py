@@ -7,17 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratelens.llm.jaccard import jaccard_components
+from ratelens.llm.language import language_report
+from ratelens.llm.secrets import secret_report
 from ratelens.llm.tables import table
+from ratelens.llm.urls import judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), "0.85", 4)
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_secret_scan": op2_secret_scan,
+    "op4_language_id": op4_language_id,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op10_url_filter": op10_url_filter,
 }
 # For each query that SQL can express on whole tables. Components: every document starts at its
 # own id and reaches what linked pairs lead to.

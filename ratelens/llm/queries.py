@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratelens.llm.jaccard import jaccard_components
 from ratelens.llm.language import language_report
+from ratelens.llm.quality import quality_report
 from ratelens.llm.secrets import secret_report
 from ratelens.llm.tables import table
 from ratelens.llm.urls import judged_urls
@@ -19,6 +20,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op10_url_filter": op10_url_filter,
@@ -40,6 +46,44 @@ QUERIES: dict[str, Query] = {
 # For each query that SQL can express on whole tables. Components: every document starts at its
 # own id and reaches what linked pairs lead to.
 SQL: dict[str, str] = {
+    "op3_quality_rules": r"""
+        with words as (
+            select doc_id, coalesce(text, '') as t,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda x: x <> '') as w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+            from documents),
+        windows as (
+            select doc_id, unnest(range(1, len(w) - 6)) as place,
+                   unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) as s
+            from words where len(w) >= 8),
+        again as (select doc_id, place from windows
+                  qualify count(*) over (partition by doc_id, s) > 1),
+        covered as (
+            select doc_id, count(distinct place + k) as n_repeat_words
+            from again, range(8) as r(k) group by doc_id),
+        measured as (
+            select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+                   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+                   length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as n_capitals,
+                   length(t) - length(replace(t, '!', '')) as n_exclamations,
+                   len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
+                   len(list_distinct(w)) as n_distinct_words,
+                   coalesce(n_repeat_words, 0) as n_repeat_words
+            from words left join covered using (doc_id)),
+        failing as (
+            select *, cast(
+                (n_words < 20)::int + 2 * (100 * n_repeat_words > 30 * n_words)::int
+                + 4 * (5 * n_symbols > n_words)::int + 8 * (2 * n_capitals > word_chars)::int
+                + 16 * (10 * n_exclamations > 3 * n_words)::int
+                + 32 * (100 * n_distinct_words < 35 * n_words)::int
+                + 64 * (2 * n_dup_lines > n_lines)::int
+                + 128 * (word_chars > 15 * n_words or word_chars < 2 * n_words)::int
+                as bigint) as failed
+            from measured)
+        select *, failed & 3 <> 0 as base_failed, failed = 0 as kept from failing
+    """,
     "op5_ngram_jaccard": """
         with recursive words as (
             select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),

@@ -91,7 +91,7 @@ def _hot_tokens(sets: DataFrame) -> np.ndarray:
 
 
 def _token_rows(docs: DataFrame, k: int, hot: np.ndarray) -> DataFrame:
-    """``token``, ``set_id``, ``n``, ``hot``: the tokens of each set, once per partition and set."""
+    """``token``, ``set_id``: the tokens of each set, once per partition and set. Hot ones as -1 - token."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
@@ -105,14 +105,67 @@ def _token_rows(docs: DataFrame, k: int, hot: np.ndarray) -> DataFrame:
                         sizes.append(len(own))
                 if ids:
                     every = np.concatenate(tokens).astype(np.int64)
+                    if len(hot):
+                        place = np.minimum(np.searchsorted(hot, every), len(hot) - 1)
+                        every = np.where(hot[place] == every, -1 - every, every)
                     of_set = np.repeat(np.array(ids, np.int64), sizes)
-                    is_hot = np.isin(every, hot)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(every), pa.array(of_set),
-                         pa.array(np.repeat(np.array(sizes, np.int32), sizes)),
-                         pa.array(is_hot)],
-                        ["token", "set_id", "n", "hot"])
-    return docs.select("text").mapInArrow(work, "token long, set_id long, n int, hot boolean")
+                    yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(of_set)],
+                                                     ["token", "set_id"])
+    return docs.select("text").mapInArrow(work, "token long, set_id long")
+
+
+def _shared_keys(rows: DataFrame) -> DataFrame:
+    """``set_id``, ``key`` of the tokens that more than one set has, and of all hot tokens.
+
+    A key holds the token's number of sets, up to ``_MOST_COUNT``, and the token. Rows are dealt
+    out by token, hot ones by set, and come in order; a task holds the rows of one token until it
+    knows their number, or until that number is the largest that a key can hold.
+    """
+    place = F.when(F.col("token") < 0, F.col("set_id")).otherwise(F.col("token"))
+    dealt = rows.repartition(place).sortWithinPartitions("token", "set_id")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = None                       # a token whose number of sets is known to be the largest
+
+        def counted(token: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+            first = np.ones(len(token), bool)
+            first[1:] = token[1:] != token[:-1]
+            begin = np.flatnonzero(first)
+            count = np.repeat(np.diff(np.append(begin, len(token))), np.diff(np.append(begin, len(token))))
+            count = np.where((token < 0) | (token == full) if full is not None else token < 0,
+                             _MOST_COUNT, np.minimum(count, _MOST_COUNT))
+            own = np.where(token < 0, -1 - token, token)
+            good = count > 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[good]), pa.array(count[good] << _TOKEN_BITS | own[good])],
+                ["set_id", "key"])
+
+        held, size = [], 0
+
+        def joined(held: list) -> tuple[np.ndarray, np.ndarray]:
+            t, s = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            new = np.ones(len(t), bool)
+            new[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])     # copies from other partitions
+            return t[new], s[new]
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size < 2 * _MOST_COUNT:
+                continue
+            token, ids = joined(held)
+            cut = int(np.searchsorted(token, token[-1]))
+            if len(token) - cut >= _MOST_COUNT or token[-1] == full:
+                if cut:
+                    yield from counted(token[:cut], ids[:cut])
+                full = token[-1]
+                yield from counted(token[cut:-1], ids[cut:-1])   # the last row finds its copies
+                cut = len(token) - 1
+            elif cut:
+                yield from counted(token[:cut], ids[:cut])
+            held, size = [(token[cut:], ids[cut:])], len(token) - cut
+        if held:
+            yield from counted(*joined(held))
+    return dealt.mapInArrow(work, "set_id long, key long")
 
 
 def _prefix_length(n: np.ndarray | int, t: Fraction) -> np.ndarray | int:
@@ -325,18 +378,10 @@ def jaccard_components(docs: DataFrame, threshold: str = "0.85", k: int = 4,
     rows = texts(docs, id_col, text_col)
     read = kept(_shingle_sets(rows, k), "sets")
     sets = read.where("hot is null")
-    # One shuffle by token serves the counts and the rows that are joined to them. A hot token
-    # is dealt out by set, takes the last class of the order and needs no count.
-    tokens = _token_rows(rows, k, _hot_tokens(read))
-    place = F.when(F.col("hot"), F.col("set_id")).otherwise(F.col("token"))
-    spread = tokens.withColumn("place", place).repartition(F.col("place")).distinct()
-    counts = spread.where("not hot").groupBy("place").agg(F.count("*").alias("count")).where("count > 1")
-    counted = spread.where("not hot").join(counts, "place")
-    every = counted.select("set_id", "n", "count", "token").unionByName(
-        spread.where("hot").select("set_id", "n", F.lit(_MOST_COUNT).cast("long").alias("count"), "token"))
-    key = F.shiftleft(F.least(F.col("count"), F.lit(_MOST_COUNT)), _TOKEN_BITS).bitwiseOR(F.col("token"))
-    shared = every.select("set_id", "n", key.alias("key"))
-    per_set = shared.groupBy("set_id").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys"))
+    keys = _shared_keys(_token_rows(rows, k, _hot_tokens(read)))
+    per_set = keys.groupBy("set_id").agg(F.collect_list("key").alias("keys"))
+    sizes = sets.where("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").cast("int").alias("n"))
+    per_set = per_set.join(sizes, "set_id")
     linked = linked_sets(_with_prefixes(per_set, t), t)
 
     smallest = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))

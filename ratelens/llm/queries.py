@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratelens.llm.jaccard import jaccard_components
 from ratelens.llm.language import language_report
+from ratelens.llm.pieces import encoding_report
 from ratelens.llm.pii import with_surrogates
 from ratelens.llm.quality import quality_report
 from ratelens.llm.secrets import secret_report
@@ -33,6 +34,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), "0.85", 4)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_report(table(spark, sf_dir, "documents"))
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_surrogates(table(spark, sf_dir, "documents"), key="replace this key in production")
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op10_url_filter": op10_url_filter,
 }

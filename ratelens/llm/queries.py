@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratelens.llm.jaccard import jaccard_components
 from ratelens.llm.language import language_report
+from ratelens.llm.licenses import scan
 from ratelens.llm.pieces import encoding_report
 from ratelens.llm.pii import with_surrogates
 from ratelens.llm.quality import quality_report
@@ -18,6 +19,10 @@ from ratelens.llm.urls import judged_urls
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,

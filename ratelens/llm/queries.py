@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratelens.llm.brown import scores
 from ratelens.llm.jaccard import jaccard_components
 from ratelens.llm.language import language_report
 from ratelens.llm.licenses import scan
@@ -39,6 +40,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), "0.85", 4)
 
 
+def op6_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_brown_scores": op6_brown_scores,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op10_url_filter": op10_url_filter,

@@ -13,7 +13,6 @@ the paragraph.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratelens.llm.tables import texts
-from ratelens.llm.words import Words, mixed, words_of
+from ratelens.llm.words import Words, mixed, trimmed, words_of
 
 # Notices of the families, as their stewards ask to write them.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -90,22 +89,10 @@ SAMPLE_PARAGRAPHS = 4000        # of the corpus, to learn what is no licence
 VARIANTS = 60                   # damaged copies of each template
 FALSE_RATE = 1e-3
 CONFIRMED = 0.6                 # share of 2-grams in common, of template and of paragraph part
-MOST_KNOWN = 0.5                # paragraphs with more known words than this look like a licence
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_TRIM = np.zeros(256, bool)
-_TRIM[[ord(c) for c in "\"'()[]{}<>.,;:!?*#$%&|"]] = True
+LIKE_LICENCE = 0.5              # share of known words from which a paragraph looks like one
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _trimmed(words: Words) -> Words:
-    """Words without punctuation at their ends; of one that is nothing else a character stays."""
-    begin, end = words.begin.copy(), words.end.copy()
-    for _ in range(4):
-        begin = np.where((end - begin > 1) & _TRIM[words.data[begin]], begin + 1, begin)
-        end = np.where((end - begin > 1) & _TRIM[words.data[end - 1]], end - 1, end)
-    return Words(words.rows, words.data, begin, end, words.first)
-
-
 def _grams(hashes: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """2-grams within a line, each with the place of its first word."""
     at = np.flatnonzero(line[1:] == line[:-1])
@@ -115,7 +102,7 @@ def _grams(hashes: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _hashed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Word hashes and 2-gram hashes of each line."""
     for words in words_of(pa.array(lines, pa.string())):
-        hashes = _trimmed(words).hashes()
+        hashes = trimmed(words).hashes()
         for i in range(len(words.first) - 1):
             own = hashes[words.first[i]:words.first[i + 1]]
             yield own, _grams(own, np.zeros(len(own), int))[0]
@@ -281,7 +268,7 @@ def _scanned(words: Words, model: Model, templates: dict) -> tuple[list[int], li
     begin = np.flatnonzero(new)
     paragraph = np.cumsum(new) - 1
     many = np.bincount(row[begin], minlength=rows)
-    hashes = _trimmed(words).hashes()
+    hashes = trimmed(words).hashes()
     pairs, at = _grams(hashes, paragraph)
     one, two = _find(model.known, hashes), _find(model.known, pairs)
     # A known 2-gram that the corpus lacks is what sets a notice apart; other lines are not scored.
@@ -307,7 +294,7 @@ def _scanned(words: Words, model: Model, templates: dict) -> tuple[list[int], li
         family, chance = model.classes[best], float(chances[i, best])
         alike = _similarity(own, templates[family])
         if chance < model.least or alike < CONFIRMED:
-            if 1 - chances[i, -1] < model.least or share[p] < MOST_KNOWN:
+            if 1 - chances[i, -1] < model.least or share[p] < LIKE_LICENCE:
                 continue
             family = UNKNOWN
         r = int(row[bounds[p]])

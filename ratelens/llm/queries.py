@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratelens.llm.brown import scores
+from ratelens.llm.decontamination import leaks
 from ratelens.llm.jaccard import jaccard_components
 from ratelens.llm.language import language_report
 from ratelens.llm.licenses import scan
@@ -52,6 +53,10 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_surrogates(table(spark, sf_dir, "documents"), key="replace this key in production")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_urls(table(spark, sf_dir, "pages"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op6_brown_scores": op6_brown_scores,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_pii_surrogates": op8_pii_surrogates,
+    "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
 }
 # For each query that SQL can express on whole tables. Components: every document starts at its

@@ -27,6 +27,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_TRIM = np.zeros(256, bool)
+_TRIM[[ord(c) for c in "\"'()[]{}<>.,;:!?*#$%&|"]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 _OF_BYTE = mixed((LOWER.astype(np.uint64) + np.uint64(1)) * _STEP)
@@ -65,6 +67,17 @@ class Words:
         return mixed((sums[self.end - 1] - before) * down[self.begin] + lengths)
 
 
+def trimmed(words: Words) -> Words:
+    """Words without punctuation at their ends; of one that is nothing else a character stays."""
+    begin, end = words.begin.copy(), words.end.copy()
+    for edge, step, at in ((begin, 1, 0), (end, -1, -1)):
+        rest = np.arange(len(begin))
+        while len(rest):
+            rest = rest[(end[rest] - begin[rest] > 1) & _TRIM[words.data[edge[rest] + at]]]
+            edge[rest] += step
+    return Words(words.rows, words.data, begin, end, words.first)
+
+
 def words_of(texts: pa.Array) -> Iterator[Words]:
     """The words of an Arrow column of strings, chunk by chunk."""
     texts = texts.cast(pa.large_string()).fill_null("")

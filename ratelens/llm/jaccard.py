@@ -24,7 +24,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratelens.llm.components import smallest_reachable
 from ratelens.llm.tables import kept, texts
@@ -364,6 +364,17 @@ def linked_sets(candidates: DataFrame, t: Fraction) -> DataFrame:
     return smallest_reachable(every, "a", "b").select(F.col("node").alias("set_id"), "root")
 
 
+def _sets_and_links(rows: DataFrame, threshold: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``n_shingles``, ``set_id`` of each row; ``set_id``, ``root`` of linked sets."""
+    t = Fraction(threshold)
+    read = kept(_shingle_sets(rows, k), "sets")
+    sets = read.where("hot is null")
+    keys = _shared_keys(_token_rows(rows, k, _hot_tokens(read)))
+    per_set = keys.groupBy("set_id").agg(F.collect_list("key").alias("keys"))
+    sizes = sets.where("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").cast("int").alias("n"))
+    return sets, linked_sets(_with_prefixes(per_set.join(sizes, "set_id"), t), t)
+
+
 def jaccard_components(docs: DataFrame, threshold: str = "0.85", k: int = 4,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for each row of ``docs``.
@@ -374,16 +385,7 @@ def jaccard_components(docs: DataFrame, threshold: str = "0.85", k: int = 4,
     repeated results; a null doc_id stays null, takes part in links and gets the smallest id of
     its component, or null. An empty table gives an empty result.
     """
-    t = Fraction(threshold)
-    rows = texts(docs, id_col, text_col)
-    read = kept(_shingle_sets(rows, k), "sets")
-    sets = read.where("hot is null")
-    keys = _shared_keys(_token_rows(rows, k, _hot_tokens(read)))
-    per_set = keys.groupBy("set_id").agg(F.collect_list("key").alias("keys"))
-    sizes = sets.where("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").cast("int").alias("n"))
-    per_set = per_set.join(sizes, "set_id")
-    linked = linked_sets(_with_prefixes(per_set, t), t)
-
+    sets, linked = _sets_and_links(texts(docs, id_col, text_col), threshold, k)
     smallest = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     rooted = smallest.join(linked, "set_id", "left") \
         .withColumn("root", F.coalesce("root", "set_id"))
@@ -393,3 +395,31 @@ def jaccard_components(docs: DataFrame, threshold: str = "0.85", k: int = 4,
     return out.select("doc_id", "n_shingles",
                       F.when(F.col("set_id").isNull(), F.col("doc_id"))
                       .otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, threshold: str = "0.85", k: int = 4,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null ids last.
+
+    Rows without shingles all stay. Of rows with that id in one component the one with the smallest
+    set id stays, and of rows that agree in id and set any one.
+    """
+    sets, linked = _sets_and_links(texts(docs, id_col, text_col), threshold, k)
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")
+    least = sets.where("set_id is not null").groupBy("set_id").agg(F.min(best).alias("best"))
+    chosen = least.join(linked, "set_id", "left").groupBy(F.coalesce("root", "set_id").alias("root")) \
+        .agg(F.min("best").alias("best")).select("best.set_id", F.col("best.doc_id").alias("chosen__"))
+    at = docs.schema.fieldNames().index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField("set__", T.LongType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [_class_id(tokens) if len(tokens) else None
+                   for words in words_of(batch.column(at)) for _, tokens in shingles_of(words, k)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())],
+                                             [*batch.schema.names, "set__"])
+    named = docs.mapInArrow(work, schema)
+    filled = named.where("set__ is not null")
+    stays = (F.col("set__") == F.col("set_id")) & F.col(f"`{id_col}`").eqNullSafe(F.col("chosen__"))
+    some = filled.join(chosen, stays, "left_semi").dropDuplicates(["set__"])
+    return some.unionByName(named.where("set__ is null")).drop("set__")

@@ -24,9 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
-
-from ratelens.llm.tables import texts
+from pyspark.sql import DataFrame, functions as F, types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -158,16 +156,22 @@ def decode_ids(ids: Iterable[int], vocab: Vocabulary) -> str:
     return text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text``, ``ids`` (piece ids) of each row. A null text has null ids, an empty one none.
+def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``text``, the columns ``keep`` and ``ids`` (piece ids) of each row.
 
-    Whole texts are encoded, however long. Repeated rows give repeated results.
+    A null text has null ids, an empty one none. Whole texts are encoded, however long. Repeated rows
+    give repeated results.
     """
     vocab = docs.sparkSession.sparkContext.broadcast(vocabulary(model_file))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`") for c in keep])
+    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+            sizes = np.cumsum(sizes.to_numpy(zero_copy_only=False))
             row = 0
             while row < batch.num_rows:
                 done = sizes[row - 1] if row else 0
@@ -175,10 +179,9 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                 part = batch.slice(row, after - row)
                 ids = encode_texts(part.column("text").to_pylist(), vocab.value)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.select(["doc_id", "text"]).columns, pa.array(ids, pa.list_(pa.int32()))],
-                    ["doc_id", "text", "ids"])
+                    [*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, "ids"])
                 row = after
-    return texts(docs, id_col, text_col).mapInArrow(work, "doc_id long, text string, ids array<int>")
+    return rows.mapInArrow(work, schema)
 
 
 def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:

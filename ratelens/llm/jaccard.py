@@ -408,7 +408,7 @@ def one_per_component(docs: DataFrame, threshold: str = "0.85", k: int = 4,
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")
     least = sets.where("set_id is not null").groupBy("set_id").agg(F.min(best).alias("best"))
     chosen = least.join(linked, "set_id", "left").groupBy(F.coalesce("root", "set_id").alias("root")) \
-        .agg(F.min("best").alias("best")).select("best.set_id", F.col("best.doc_id").alias("chosen__"))
+        .agg(F.min("best").alias("best")).select(F.col("best.set_id").alias("chosen_set__"), F.col("best.doc_id").alias("chosen__"))
     at = docs.schema.fieldNames().index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField("set__", T.LongType())])
 
@@ -420,6 +420,6 @@ def one_per_component(docs: DataFrame, threshold: str = "0.85", k: int = 4,
                                              [*batch.schema.names, "set__"])
     named = docs.mapInArrow(work, schema)
     filled = named.where("set__ is not null")
-    stays = (F.col("set__") == F.col("set_id")) & F.col(f"`{id_col}`").eqNullSafe(F.col("chosen__"))
+    stays = (F.col("set__") == F.col("chosen_set__")) & F.col(f"`{id_col}`").eqNullSafe(F.col("chosen__"))
     some = filled.join(chosen, stays, "left_semi").dropDuplicates(["set__"])
     return some.unionByName(named.where("set__ is null")).drop("set__")

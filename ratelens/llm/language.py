@@ -86,8 +86,9 @@ def _sample(labelled: DataFrame, per_language: int) -> pd.DataFrame:
         for batch in batches:
             held = [features(t) for t in batch["text"]]
             yield pd.DataFrame({
-                "lang": batch["lang"], "draw": batch["draw"],
-                "bits": [None if h is None else np.packbits(h).tobytes() for h in held]})
+                "lang": batch["lang"].astype(object), "draw": batch["draw"],
+                "bits": pd.Series([None if h is None else np.packbits(h).tobytes() for h in held],
+                                  dtype=object)})
     bits = drawn.mapInPandas(work, "lang string, draw double, bits binary").where("bits is not null")
     rows = bits.toPandas().sort_values(["lang", "draw", "bits"])
     return rows.groupby("lang").head(per_language)
@@ -159,7 +160,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                 if len(rows) == 64:
                     score()
         score()
-        return pd.DataFrame({"lang_pred": names, "score": chance, "known": known})
+        return pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": chance, "known": known})
 
     judge = F.pandas_udf(judged, "lang_pred string, score double, known double")
     out = docs.withColumn("judged__", judge(F.col(f"`{text_col}`").cast("string")))

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 ALLOW, BLOCK = "allow", "block"
@@ -56,15 +57,21 @@ def _apart(host: str, path: str) -> list[str]:
     return ["h:" + w for w in LETTERS.findall(host)] + ["p:" + w for w in LETTERS.findall(path.lower())]
 
 
+def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
+    return zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())
+
+
 def dictionary(urls: DataFrame) -> dict[str, float]:
     """Log probability of each word of the names that has ``LEAST_SHARE`` of all, so 100,000 at most."""
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
-            for host, path in zip(batch["host"], batch["path"]):
+            for host, path in _pairs(batch):
                 counts.update(w[2:] for w in _apart(host, path))
-            yield pd.DataFrame({"word": list(counts), "times": list(counts.values())})
-    counts = urls.select("host", "path").mapInPandas(work, "word string, times long") \
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                ["word", "times"])
+    counts = urls.select("host", "path").mapInArrow(work, "word string, times long") \
         .groupBy("word").agg(F.sum("times").alias("times"))
     total = counts.agg(F.sum("times")).first()[0] or 0
     often = counts.where(F.col("times") >= LEAST_SHARE * total).collect()
@@ -123,18 +130,19 @@ def learned(urls: DataFrame, words: dict[str, float]) -> Bayes:
     """From ``host``, ``path`` and the rules' ``verdict``. Words outside the dictionary are one word."""
     sent = urls.sparkSession.sparkContext.broadcast(words)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, list[str]] = {}
         for batch in batches:
             counts: Counter = Counter()
-            for host, path, verdict in zip(batch["host"], batch["path"], batch["verdict"]):
+            for (host, path), verdict in zip(_pairs(batch), batch.column("verdict").to_pylist()):
                 counts[verdict, ""] += 1
                 for w in _words(host, path, sent.value, memory):
                     counts[verdict, w if w[2:] in sent.value else "?"] += 1
-            yield pd.DataFrame({"verdict": [k[0] for k in counts], "word": [k[1] for k in counts],
-                                "times": list(counts.values())})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
+                 pa.array(list(counts.values()), pa.int64())], ["verdict", "word", "times"])
     counts = urls.where("verdict is not null").select("host", "path", "verdict") \
-        .mapInPandas(work, "verdict string, word string, times long") \
+        .mapInArrow(work, "verdict string, word string, times long") \
         .groupBy("verdict", "word").agg(F.sum("times").alias("times"))
     by: dict[str, dict[str, int]] = {ALLOW: {}, BLOCK: {}}
     for verdict, word, times in counts.collect():   # two rows a word of the dictionary
@@ -169,8 +177,9 @@ def judged_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url")
         words, model = sent.value
         for hosts, paths in batches:
             split = [_words(h, p, words, memory) for h, p in zip(hosts, paths)]
-            yield pd.DataFrame({"words": [" ".join(w[2:] for w in s) for s in split],
-                                "odds": [model.judge(s) for s in split]})
+            yield pd.DataFrame({
+                "words": pd.Series([" ".join(w[2:] for w in s) for s in split], dtype=object),
+                "odds": pd.Series([model.judge(s) for s in split], dtype=float)})
     judge.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]],
                              "return": Iterator[pd.DataFrame]}
     score = F.pandas_udf(judge, "words string, odds double")

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratelens.llm.tables import texts
+from ratelens.llm import tables
 
 BLANK = "\x20\t\n\x0b\x0c\r"
 WINDOW = 8
@@ -89,12 +89,16 @@ def measured(rows: DataFrame) -> DataFrame:
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, every measurement, and ``failed``: one bit for each rule that fails.
 
-    A null text counts as empty: no words, all measurements 0. Repeated rows give repeated results.
+    The ledger is a table in the shared folder, so that no filter on it measures a text again. A null
+    text counts as empty: no words, all measurements 0. Repeated rows give repeated results.
     """
+    return tables.kept(_failures(measured(tables.texts(docs, id_col, text_col))), "ledger")
+
+
+def _failures(rows: DataFrame) -> DataFrame:
     bits = [F.when(F.expr(f"({condition})"), F.lit(1 << bit)).otherwise(0).cast("long")
             for bit, condition in RULES.values()]
-    return measured(texts(docs, id_col, text_col)) \
-        .withColumn("failed", reduce(lambda a, b: a.bitwiseOR(b), bits))
+    return rows.withColumn("failed", reduce(lambda a, b: a.bitwiseOR(b), bits))
 
 
 def kept(policy: str = CURRENT) -> Column:

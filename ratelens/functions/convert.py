@@ -16,20 +16,34 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# What may be a number for ``try_cast``, which costs an exception for any other text. It lets through
+# everything a cast can read: blanks around, sign, digits, point, exponent, hexadecimal digits, inf, nan.
+MAYBE_NUMBER = (r"(?i)\A[\x00-\x20\x7f]*[+-]?(?:[0-9.][0-9a-fpx.+-]*|inf|infinity|nan)"
+                r"[\x00-\x20\x7f]*\z")
+MAYBE_WHOLE = r"\A[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"
+
+
+def _from_text(value: Column, kind: str, pattern: str) -> Column:
+    return F.when(value.rlike(pattern), value.try_cast(kind))
+
+
 def whole(df: DataFrame, name: str) -> Column:
     """Integer keys and years. ``'5.7'`` is cut to 5; large ids in text keep all their digits."""
     kind, value = df.schema[name].dataType, ref(name)
     if isinstance(kind, T.IntegralType):
         return value.cast("bigint")
     if isinstance(kind, T.StringType):
-        return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
+        return F.coalesce(_from_text(value, "bigint", MAYBE_WHOLE),
+                          _from_text(value, "double", MAYBE_NUMBER).try_cast("bigint"))
     return value.try_cast("bigint")
 
 
 def number(df: DataFrame, name: str) -> Column:
     """Measures as double; NaN counts as missing, or one NaN would turn every mean into NaN."""
     kind = df.schema[name].dataType
-    value = ref(name).try_cast("double")
+    value = ref(name)
+    value = _from_text(value, "double", MAYBE_NUMBER) if isinstance(kind, T.StringType) \
+        else value.try_cast("double")
     if isinstance(kind, (T.IntegralType, T.DecimalType)):
         return value
     return F.when(~F.isnan(value), value)

@@ -5,59 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ratelens.functions.convert import ref, text_key
-from ratelens.sources.shared import new_folder
+from ratelens.sources.shared import stored  # noqa: F401
 
-# A key with this many rows is joined apart from the rest; at most so many keys are.
-HOT_ROWS, MOST_HOT_KEYS = 1_000_000, 1000
+# A key with more rows than this is split.
+HOT_ROWS = 1_000_000
 
 
 class NoOverlap(ValueError):
     """Two tables that should describe the same vehicles share no id."""
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """The keys with the most rows, null included: at most 1000, each with ``min_rows`` or more.
-
-    Any key left out has fewer rows than that or less than a thousandth of the table, which one
-    task can take.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """``_hot``, ``_shares``: every key with ``min_rows`` rows or more, null included, and into how
+    many shares of about that size to split it. There are at most rows / ``min_rows`` such keys.
     """
-    counts = df.groupBy(ref(key)).agg(F.count(F.lit(1)).alias("_rows"))
-    most = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), ref(key).asc())
-    return [row[0] for row in most.limit(MOST_HOT_KEYS).collect()]
+    counts = df.groupBy(ref(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
+    shares = F.ceil(F.col("_rows") / min_rows).cast("int")
+    return counts.where(F.col("_rows") >= min_rows).select("_hot", shares.alias("_shares"))
 
 
 def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "left",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Join rows to a table that has each key at most once.
 
     ``how`` is ``inner``, ``left`` (keep all of ``many``) or ``right`` (keep all of ``one``).
-    When some keys of ``many`` are hot, a shuffle on the key would send all their rows to one
-    task. Their rows stay where they are and get the at most 1000 matching rows of ``one`` by
-    broadcast; all other rows take the ordinary join. ``one`` is then stored once, as both parts
-    read it. Null keys match nothing and follow the hot rows when they are many.
+    A shuffle by key would send all rows of a hot key to one task. Its rows are dealt to shares by
+    the partition they come from, which a task that runs again finds the same, and its row of
+    ``one`` is repeated for each share; null keys are dealt out likewise. Nothing runs while the
+    plan is built. The hot keys go to all tasks: with the default ``hot_rows`` that is one key for
+    each million rows of ``many`` at most; raise it for tables of more than 10^11 rows. ``None``
+    says that no key is hot and saves the count.
     """
     if how != "left":
         many = many.where(ref(key).isNotNull())
-    hot = hot_keys(many, key, hot_rows)
-    if not hot:
+    if hot_rows is None:
         return many.join(one, key, how)
-    known = [k for k in hot if k is not None]
-    is_known = F.coalesce(ref(key).isin(known), F.lit(False))
-    is_hot = is_known | ref(key).isNull() if None in hot else is_known
-    one = stored(one, "lookup")
-    few, others = F.broadcast(one.where(is_known)), one.where(~is_known)
-    # A hot key occurs in ``many``, so its row of ``one`` needs no second place in a right join.
-    return (
-        many.where(~is_hot).join(others, key, how)
-        .unionByName(many.where(is_hot).join(few, key, "left" if how == "left" else "inner"))
-    )
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read back, for results used more than once."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    hot = F.broadcast(hot_keys(many, key, hot_rows))
+    is_hot = ref(key).eqNullSafe(F.col("_hot"))
+    dealt = many.join(hot, is_hot, "left").withColumn("_share", F.coalesce(
+        F.pmod(F.spark_partition_id(), F.col("_shares")), F.lit(0))).drop("_hot", "_shares")
+    shares = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)
+    copies = one.join(hot, is_hot, "left").withColumn("_share", F.explode(shares)) \
+        .drop("_hot", "_shares")
+    joined = dealt.join(copies, [key, "_share"], "left" if how == "left" else "inner").drop("_share")
+    if how != "right":
+        return joined
+    alone = one.join(many.select(ref(key)).distinct(), key, "left_anti")
+    return joined.unionByName(alone, allowMissingColumns=True)
 
 
 def name_spellings(catalogue: DataFrame, name: str, one_per_key: bool = False) -> DataFrame:
@@ -74,7 +68,7 @@ def name_spellings(catalogue: DataFrame, name: str, one_per_key: bool = False) -
 
 
 def join_by_name(per_key: DataFrame, spellings: DataFrame,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Aggregated facts with the catalogue names they match; unmatched facts have a null name.
 
     A fact matches every catalogue row with its name. Rows that are copies are represented once

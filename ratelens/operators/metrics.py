@@ -70,31 +70,34 @@ def ratings_and_reviews(ratings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Every vehicle that has a rating or a review, with the measures of both.
 
     Both sides are aggregated by id, so the outer join reuses their partitioning. Ids of different
-    types meet as text. Rows without id stay apart, one from each side. Review measures are 0 where
+    types are grouped as text. Rows without id stay apart, one from each side. Review measures are 0 where
     a vehicle has none; the mean and number of ratings stay null where nothing was rated. Reviews
     without an id column cannot be assigned to vehicles and count as none.
     """
-    rated = vehicle_ratings(ratings)
     if "id_vehiculo" not in reviews.columns:
-        return rated.withColumns({
+        return vehicle_ratings(ratings).withColumns({
             "n_resenas": F.lit(0).cast("bigint"), "longitud_media_resena": F.lit(0.0)})
-    reviewed = vehicle_reviews(reviews)
-    if rated.schema["id_vehiculo"].dataType != reviewed.schema["id_vehiculo"].dataType:
+    if ratings.schema["id_vehiculo"].dataType != reviews.schema["id_vehiculo"].dataType:
         as_text = C.text(F.col("id_vehiculo"))
-        rated = rated.withColumn("id_vehiculo", as_text)
-        reviewed = reviewed.withColumn("id_vehiculo", as_text)
-    both = rated.join(reviewed, "id_vehiculo", "full_outer")
+        ratings = ratings.withColumn("id_vehiculo", as_text)
+        reviews = reviews.withColumn("id_vehiculo", as_text)
+    both = vehicle_ratings(ratings).join(vehicle_reviews(reviews), "id_vehiculo", "full_outer")
     filled = ("n_resenas", "longitud_media_resena")
     return both.fillna({c: 0 for c in filled if c in both.columns})
 
 
 def catalogue_scorecard(catalogue: DataFrame, ratings: DataFrame,
-                        hot_rows: int = HOT_ROWS) -> DataFrame:
+                        hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Every catalogue row with mean and count of its ratings; 0 and 0 where it has none.
 
     ``calificado`` tells an unrated vehicle from one rated 0.
     """
-    rated = vehicle_ratings(ratings, rated_only=True)
+    return scorecard_of(catalogue, vehicle_ratings(ratings, rated_only=True), hot_rows)
+
+
+def scorecard_of(catalogue: DataFrame, rated: DataFrame,
+                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """``catalogue_scorecard`` from ``vehicle_ratings`` of rated vehicles."""
     rated = rated.withColumnRenamed("n_calificaciones", "n_resenas")
     scored = lookup_join(catalogue, rated, "id_vehiculo", "left", hot_rows)
     return (
@@ -104,7 +107,7 @@ def catalogue_scorecard(catalogue: DataFrame, ratings: DataFrame,
 
 
 def vehicle_scorecard(catalogue: DataFrame, ratings: DataFrame, reviews: DataFrame,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+                      hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Every catalogue row with all measures of ratings and reviews, the input of brand reports."""
     measures = ratings_and_reviews(ratings, reviews).where(F.col("id_vehiculo").isNotNull())
     scored = lookup_join(catalogue, measures, "id_vehiculo", "left", hot_rows)
@@ -115,7 +118,7 @@ def vehicle_scorecard(catalogue: DataFrame, ratings: DataFrame, reviews: DataFra
 # ---- per label, model and brand ----------------------------------------------------------
 
 def label_scorecard(ratings: DataFrame, labelled: DataFrame,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean (2 decimals) and number of ratings per (vehiculo, anio) of the catalogue.
 
     ``labelled`` has ``id_vehiculo``, ``vehiculo`` and ``anio``. Ids with the same label and year
@@ -132,7 +135,7 @@ def label_scorecard(ratings: DataFrame, labelled: DataFrame,
 
 
 def model_ratings(ratings: DataFrame, raw_name: str, catalogue: DataFrame, model: str,
-                  one_per_key: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  one_per_key: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean and number of ratings per catalogue model, matched on the normalised name.
 
     Ratings that match nothing form the group with a null model.
@@ -147,7 +150,7 @@ def model_ratings(ratings: DataFrame, raw_name: str, catalogue: DataFrame, model
 
 
 def model_reviews(reviews: DataFrame, raw_name: str, catalogue: DataFrame, model: str,
-                  one_per_key: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  one_per_key: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Number of reviews per catalogue model, matched as in ``model_ratings``."""
     counts = (
         reviews.groupBy(C.text_key(C.ref(raw_name)).alias("name_key")).agg(n_rows("review_rows"))
@@ -234,6 +237,29 @@ def user_activity(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("usuario").agg(*measures)
 
 
+def activity_counts(reviews: DataFrame) -> DataFrame:
+    """Reviews per day and user with the sum and number of text lengths: parts that add up."""
+    measures = [n_rows("n")]
+    if "resena" in reviews.columns:
+        length = C.n_chars(F.col("resena"))
+        measures += [F.sum(length).alias("chars"), F.count(length).alias("texts")]
+    keys = [c for c in ("fecha_d", "usuario") if c in reviews.columns]
+    return reviews.groupBy(*keys).agg(*measures)
+
+
+def daily_of_counts(counts: DataFrame) -> DataFrame:
+    """``daily_reviews`` from ``activity_counts``."""
+    return counts.groupBy("fecha_d").agg(F.sum("n").alias("n_resenas"))
+
+
+def activity_of_counts(counts: DataFrame) -> DataFrame:
+    """``user_activity`` from ``activity_counts``."""
+    measures = [F.sum("n").alias("n_resenas")]
+    if "texts" in counts.columns:
+        measures.append(F.try_divide(F.sum("chars"), F.sum("texts")).alias("longitud_media_resena"))
+    return counts.groupBy("usuario").agg(*measures)
+
+
 def user_counts(reviews: DataFrame, user: str = "username") -> DataFrame:
     """Reviews per user, reviews without comment included. Null user stays."""
     return reviews.groupBy(C.ref(user)).agg(n_rows("n_resenas"))

@@ -17,8 +17,8 @@ NAMED_ORDERS = {
     V.MOST_REVIEWED: (("n_resenas", True), ("promedio_calificacion", True)),
     V.LEAST_REVIEWED: (("n_resenas", False), ("promedio_calificacion", True)),
 }
-# Limits of the vehicle list.
-DEFAULT_TOP, LARGEST_TOP, PAGE_ROWS = 20, 50, 500
+# List lengths for input from a browser, see ``clamp_top``.
+DEFAULT_TOP, LARGEST_TOP = 20, 50
 
 
 def falling(name: str) -> Column:
@@ -44,24 +44,24 @@ def report_order(df: DataFrame, *order: Column, copies: bool = False) -> DataFra
 
 
 def named_order(df: DataFrame, name: str, copies: bool = False) -> DataFrame:
-    """One of four two-column orders; an unknown name leaves the rows as they come."""
-    pairs = NAMED_ORDERS.get(name)
-    if pairs is None:
-        return df
+    """One of four two-column orders; an unknown name means the best first."""
+    pairs = NAMED_ORDERS.get(name, NAMED_ORDERS[V.BEST])
     keys = [falling(c) if down else rising(c) for c, down in pairs]
     return report_order(df, *keys, copies=copies)
 
 
 def column_order(df: DataFrame, shown: Sequence[str], column: str, default: str,
-                 ascending: bool = False, n: int | None = None) -> DataFrame:
+                 ascending: bool = False, n: int | None = None, start: int = 0) -> DataFrame:
     """The shown columns, sorted by any column of the table, or by the default if it has no such.
 
-    With ``n`` only the first rows. Columns neither shown nor sorted by are dropped before the
+    With ``n`` only so many rows, after the first ``start`` of the order. Columns neither shown nor sorted by are dropped before the
     sort, so they are not even read.
     """
     chosen = column if column in df.columns else default
     narrow = df.select(*[ref(c) for c in dict.fromkeys([*shown, chosen])])
     ordered = report_order(narrow, rising(chosen) if ascending else falling(chosen))
+    if start:
+        ordered = ordered.offset(start)
     if n is not None:
         ordered = ordered.limit(n)
     return ordered.select(*[ref(c) for c in shown])
@@ -76,7 +76,10 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 
 def clamp_top(asked: object) -> int:
-    """List length from user input: 1 to 50, and 20 when it is not a whole number."""
+    """List length from user input: 1 to 50, and 20 when it is not a whole number.
+
+    For callers that want such a bound; no page applies it by itself.
+    """
     try:
         return min(max(int(str(asked)), 1), LARGEST_TOP)
     except ValueError:

@@ -1,7 +1,8 @@
 """What the dashboard pages ask for: filtered, sorted and limited tables.
 
 Each function returns the named parts of a page as lazy DataFrames; the caller fetches those it
-shows. Lists are cut by ``limit`` only where the page itself is a top list.
+shows. Only ``one_pass`` computes something at once: the small table it stores. Lists are cut by
+``limit`` only where the page itself is a top list or the caller asks for a page.
 """
 
 from __future__ import annotations
@@ -37,20 +38,23 @@ def vehicles_page(raw_scores: DataFrame, query: str = "", order: str = V.BEST,
 
 
 def vehicle_list(raw_scores: DataFrame, query: str = "", order: str = "promedio_calificacion",
-                 direction: str = "desc", top: object = ranking.DEFAULT_TOP,
-                 ) -> dict[str, DataFrame]:
-    """Matching vehicles by any column: their number, the first page, the chart."""
+                 direction: str = "desc", top: int = ranking.DEFAULT_TOP,
+                 page_rows: int | None = None, start: int = 0) -> dict[str, DataFrame]:
+    """Matching vehicles by any column: their number, the table, the chart of the first ``top``.
+
+    The table is whole, or with ``page_rows`` one page of it, after the first ``start`` rows.
+    """
     scores = frames.stored_scorecard(raw_scores)
     found = search(scores, C.ref("vehiculo_label"), query)
 
-    def listed(shown: Sequence[str], n: int) -> DataFrame:
+    def listed(shown: Sequence[str], n: int | None, start: int = 0) -> DataFrame:
         return ranking.column_order(
-            found, shown, order, "promedio_calificacion", direction == V.ASCENDING, n)
+            found, shown, order, "promedio_calificacion", direction == V.ASCENDING, n, start)
 
     return {
         "total": metrics.table_size(found),
-        "tabla": listed(found.columns, ranking.PAGE_ROWS),
-        "grafica": listed(["vehiculo_label", "promedio_calificacion"], ranking.clamp_top(top)),
+        "tabla": listed(found.columns, page_rows, start),
+        "grafica": listed(["vehiculo_label", "promedio_calificacion"], top),
     }
 
 
@@ -127,16 +131,16 @@ def brands_page(scores: DataFrame, query: str = "", at_least: int = 0, n: int =
     return parts
 
 
-def brand_detail(scores: DataFrame, wanted: str, at_least: int = 0,
-                 n: int = 20) -> dict[str, DataFrame]:
+def brand_detail(scores: DataFrame, wanted: str, at_least: int = 0, n: int = 20,
+                 query: str = "") -> dict[str, DataFrame]:
     """One brand by exact name: its summary row, its best and its most reviewed vehicles.
 
-    The filter comes before the aggregation, so other brands are not summed. ``at_least`` may
+    A brand that the search ``query`` does not find has no rows. The filter comes before the aggregation, so other brands are not summed. ``at_least`` may
     hide the summary row of a brand with few ratings, not its vehicles.
     """
     brand = must_pick(scores, V.SCORE_BRAND, "brand")
     key, mean, reviews, ratings = _score_columns(scores)
-    own = scores.where(same_text(scores, brand, wanted))
+    own = search(scores.where(same_text(scores, brand, wanted)), C.ref(brand), query)
     summary = metrics.brand_rollup(own, brand, key, mean, ratings, reviews)
     if ratings and at_least > 0:
         summary = ranking.supported(summary, "total_calificaciones", at_least)

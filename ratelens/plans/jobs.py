@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ratelens.plans import reports
 from ratelens.sources import writers
 from ratelens.sources.readers import read_csv
+from ratelens.sources.shared import intermediate_tables
 
 # Names of the runs.
 RATINGS, REVIEWS, VEHICLES, AUTOS, USERS = (
@@ -26,7 +27,7 @@ def report_by_view(spark: SparkSession, view: str, ratings: str | None = None,
     if wanted == RATINGS:
         return reports.ratings_report(_read(spark, ratings, RATINGS), one_pass=True)
     if wanted == REVIEWS:
-        return reports.reviews_report(_read(spark, reviews, REVIEWS, multi_line))
+        return reports.reviews_report(_read(spark, reviews, REVIEWS, multi_line), one_pass=True)
     return {"vehiculos_agg": reports.vehicles_report(
         _read(spark, ratings, RATINGS), _read(spark, reviews, REVIEWS, multi_line))}
 
@@ -34,7 +35,10 @@ def report_by_view(spark: SparkSession, view: str, ratings: str | None = None,
 def report_by_type(spark: SparkSession, kind: str, autos: str, ratings: str | None = None,
                    reviews: str | None = None, users: str | None = None,
                    multi_line: bool = False) -> dict[str, DataFrame]:
-    """Ratings or reviews per catalogue model, the catalogue, or the users; other names fail."""
+    """Ratings or reviews per catalogue model, the catalogue, or the users; other names fail.
+
+    Users come with their number and the usual statistics of every column.
+    """
     if kind == RATINGS:
         return {"salida_mejores_calificados": reports.ratings_by_model(
             _read(spark, ratings, RATINGS), read_csv(spark, autos))}
@@ -44,7 +48,10 @@ def report_by_type(spark: SparkSession, kind: str, autos: str, ratings: str | No
     if kind == AUTOS:
         return {"salida_autos": reports.catalogue_listing(read_csv(spark, autos))}
     if kind == USERS:
-        return {"salida_usuarios": _read(spark, users, USERS)}
+        table = _read(spark, users, USERS)
+        profile = reports.users_profile(table)
+        return {"salida_usuarios": table, "usuarios_total": profile["total"],
+                "usuarios_describe": profile["describe"]}
     raise ValueError(f"unknown report {kind!r}")
 
 
@@ -57,11 +64,7 @@ def scorecard(spark: SparkSession, ratings: str, catalogue: str, label: str = "i
 
 def whole_catalogue(spark: SparkSession, ratings: str, catalogue: str) -> dict[str, DataFrame]:
     """The scorecard of every catalogue vehicle and the counts behind it, from CSV paths."""
-    raw_ratings, raw_catalogue = read_csv(spark, ratings), read_csv(spark, catalogue)
-    return {
-        "vehiculos_agg": reports.full_catalogue_scorecard(raw_ratings, raw_catalogue),
-        "cobertura": reports.coverage(raw_ratings, raw_catalogue),
-    }
+    return reports.whole_catalogue_report(read_csv(spark, ratings), read_csv(spark, catalogue))
 
 
 def catalogue(spark: SparkSession, globs: Sequence[str]) -> dict[str, DataFrame]:
@@ -70,11 +73,11 @@ def catalogue(spark: SparkSession, globs: Sequence[str]) -> dict[str, DataFrame]
 
 
 def save(report: Mapping[str, DataFrame], *folders: str,
-         write: Callable[[DataFrame, str], None] = writers.write_csv) -> None:
+         write: Callable[[DataFrame, str], None] = writers.write_table) -> None:
     """Each part of a report in a directory of its name, replaced as a whole.
 
-    With several folders a part is computed once and written to each. ``write`` may be
-    ``writers.write_table`` for Parquet, the better choice when Spark reads the result again.
+    With several folders a part is computed once and written to each. The result is Parquet, or CSV
+    with ``writers.write_csv``.
     """
     for name, part in report.items():
         paths = [f"{folder}/{name}" for folder in folders]
@@ -84,6 +87,13 @@ def save(report: Mapping[str, DataFrame], *folders: str,
             write(part, paths[0])
 
 
+def run(spark: SparkSession, report: Callable[[], Mapping[str, DataFrame]], *folders: str,
+        write: Callable[[DataFrame, str], None] = writers.write_table) -> None:
+    """Make a report and save it; the intermediate tables it needed are gone afterwards."""
+    with intermediate_tables(spark):
+        save(report(), *folders, write=write)
+
+
 def _read(spark: SparkSession, path: str | None, what: str,
           multi_line: bool = False) -> DataFrame:
     if path is None:

@@ -15,9 +15,6 @@ from ratelens.sources import frames
 from ratelens.sources.names import MissingColumns, must_pick, pick, project
 from ratelens.sources.readers import empty_catalogue, read_csv_groups
 
-# The most rows a sample may have to be broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def ratings_report(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
     """Star histogram and, when the ratings are dated, their monthly series.
@@ -42,15 +39,23 @@ def ratings_report(raw_ratings: DataFrame, one_pass: bool = False) -> dict[str,
     }
 
 
-def reviews_report(raw_reviews: DataFrame) -> dict[str, DataFrame]:
-    """Daily series and, when the users are known, their activity, busiest first."""
+def reviews_report(raw_reviews: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
+    """Daily series and, when the users are known, their activity, busiest first.
+
+    With ``one_pass`` the counts per day and user are stored and give both parts.
+    """
     reviews = frames.reviews_by_id(raw_reviews)
     if "fecha_d" not in reviews.columns:
         raise MissingColumns(f"no review date column, got {raw_reviews.columns}")
-    report = {"resenas_diarias": metrics.daily_reviews(reviews).orderBy("fecha_d")}
+    if one_pass:
+        reviews = joins.stored(metrics.activity_counts(reviews), "reviews-report")
+        daily, activity = metrics.daily_of_counts, metrics.activity_of_counts
+    else:
+        daily, activity = metrics.daily_reviews, metrics.user_activity
+    report = {"resenas_diarias": daily(reviews).orderBy("fecha_d")}
     if "usuario" in reviews.columns:
         report["usuarios_agg"] = ranking.report_order(
-            metrics.user_activity(reviews), ranking.falling("n_resenas"))
+            activity(reviews), ranking.falling("n_resenas"))
     return report
 
 
@@ -65,7 +70,7 @@ def vehicles_report(raw_ratings: DataFrame, raw_reviews: DataFrame) -> DataFrame
 
 
 def named_scorecard(raw_ratings: DataFrame, raw_catalogue: DataFrame, label: str = "id",
-                    check_overlap: bool = True, hot_rows: int = joins.HOT_ROWS) -> DataFrame:
+                    check_overlap: bool = True, hot_rows: int | None = joins.HOT_ROWS) -> DataFrame:
     """Scorecard per readable name and year.
 
     ``label`` says what stands in for a missing name: ``id`` (ID n), ``part`` (model or brand,
@@ -85,11 +90,14 @@ def named_scorecard(raw_ratings: DataFrame, raw_catalogue: DataFrame, label: str
 
 
 def full_catalogue_scorecard(raw_ratings: DataFrame, raw_catalogue: DataFrame,
-                             hot_rows: int = joins.HOT_ROWS) -> DataFrame:
+                             hot_rows: int | None = joins.HOT_ROWS) -> DataFrame:
     """Every catalogue vehicle with mean and count, 0 where unrated, best first."""
-    scored = metrics.catalogue_scorecard(
+    return _catalogue_result(metrics.catalogue_scorecard(
         frames.labelled_catalogue(raw_catalogue).select("id_vehiculo", "vehiculo_label"),
-        frames.ratings_by_number(raw_ratings), hot_rows)
+        frames.ratings_by_number(raw_ratings), hot_rows))
+
+
+def _catalogue_result(scored: DataFrame) -> DataFrame:
     result = scored.select("id_vehiculo", "vehiculo_label", "promedio_calificacion", "n_resenas",
                            "calificado")
     return ranking.report_order(
@@ -106,9 +114,26 @@ def coverage(raw_ratings: DataFrame, raw_catalogue: DataFrame) -> DataFrame:
     )
 
 
+def whole_catalogue_report(raw_ratings: DataFrame, raw_catalogue: DataFrame,
+                           hot_rows: int | None = joins.HOT_ROWS) -> dict[str, DataFrame]:
+    """The two results above from one pass over the ratings, whose sums per vehicle are stored."""
+    vehicles = frames.labelled_catalogue(raw_catalogue)
+    rated = joins.stored(metrics.vehicle_ratings(
+        frames.ratings_by_number(raw_ratings), rated_only=True), "ratings-per-vehicle")
+    counted = rated.agg(
+        F.lit("calificaciones").alias("tabla"),
+        F.coalesce(F.sum("n_calificaciones"), F.lit(0)).alias("n_filas"),
+        F.count(F.lit(1)).alias("n_claves"))
+    return {
+        "vehiculos_agg": _catalogue_result(metrics.scorecard_of(
+            vehicles.select("id_vehiculo", "vehiculo_label"), rated, hot_rows)),
+        "cobertura": metrics.key_counts(vehicles, "id_vehiculo", "catalogo").unionByName(counted),
+    }
+
+
 def ratings_by_model(raw_ratings: DataFrame, autos: DataFrame, raw_name: str = "carroId",
                      model: str = "Model", one_per_key: bool = False,
-                     hot_rows: int = joins.HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = joins.HOT_ROWS) -> DataFrame:
     """Mean and number of ratings per catalogue model, matched by name, best first."""
     ratings = project(raw_ratings, {
         raw_name: raw_name,
@@ -120,7 +145,7 @@ def ratings_by_model(raw_ratings: DataFrame, autos: DataFrame, raw_name: str = "
 
 
 def reviews_by_model(raw_reviews: DataFrame, autos: DataFrame, model: str = "Model",
-                     one_per_key: bool = False, hot_rows: int = joins.HOT_ROWS) -> DataFrame:
+                     one_per_key: bool = False, hot_rows: int | None = joins.HOT_ROWS) -> DataFrame:
     """Number of reviews per catalogue model, matched by name, most reviewed first."""
     raw_name = must_pick(raw_reviews, ("id_vehiculo", "carroid", "modelo", *V.VEHICLE_ID),
                          "model name", any_case=True)
@@ -139,30 +164,23 @@ def users_profile(users: DataFrame) -> dict[str, DataFrame]:
 
 
 def sampled_catalogue(autos: DataFrame, ratings: DataFrame, key: str, fraction: float = 0.05,
-                      at_most: int = 5000, seed: int = 42) -> DataFrame:
+                      at_most: int | None = None, seed: int = 42) -> DataFrame:
     """A repeatable sample of the catalogue with the real ratings of the drawn vehicles.
 
     ``autos`` has the key, ``Model``, ``Year`` and ``Status``; ``ratings`` has ``id_vehiculo``
-    and ``calificacion``. The sample is stored, so the catalogue is read once. Its ids are at most
-    ``at_most`` rows; up to 100,000 they are broadcast, and ratings of other vehicles are dropped
-    before anything is shuffled. For a larger sample all ratings are aggregated first.
+    and ``calificacion``. The sample is stored at once, so the catalogue is read once, and the join
+    with the aggregated ratings knows its size. ``at_most`` cuts the sample where it is given.
     """
     drawn = joins.stored(hash_sample(project(autos, {
         "id_vehiculo": key, "vehiculo": "Model", "anio": "Year", "estado": "Status",
     }), ["id_vehiculo"], fraction, seed, at_most), "sample")
-    small = at_most <= BROADCAST_ROWS
-    if small:
-        wanted = F.broadcast(drawn.select("id_vehiculo").distinct())
-        ratings = ratings.join(wanted, "id_vehiculo", "left_semi")
-    scores = metrics.vehicle_ratings(ratings).where(F.col("id_vehiculo").isNotNull())
-    join = DataFrame.join if small else joins.lookup_join
-    scored = join(drawn, scores, "id_vehiculo", "left").select(
+    scores = metrics.vehicle_ratings(ratings.where(F.col("id_vehiculo").isNotNull()))
+    scored = joins.lookup_join(drawn, scores, "id_vehiculo", "left").select(
         "vehiculo", "anio", "estado",
         F.round(F.coalesce("promedio_calificacion", F.lit(0.0)), 2).alias("promedio_calificacion"),
         F.coalesce("n_calificaciones", F.lit(0)).alias("n_resenas"),
     )
-    return ranking.report_order(
-        scored, ranking.falling("promedio_calificacion"), copies=not small)
+    return ranking.report_order(scored, ranking.falling("promedio_calificacion"), copies=True)
 
 
 def catalogue_from(raw: DataFrame) -> DataFrame:

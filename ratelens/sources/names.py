@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 
@@ -16,11 +15,28 @@ class MissingColumns(ValueError):
 
 
 def snake_name(name: str) -> str:
-    """``carroId`` -> ``carro_id``, ``Reseña`` -> ``resena``; every capital starts a new word."""
-    plain = "".join(filter(lambda ch: not unicodedata.combining(ch),
-                           unicodedata.normalize("NFKD", name)))
-    spaced = re.sub(r"(?s)(?<=.)(?=[A-Z])", "_", plain)
-    return "_".join(re.findall(r"\w+", spaced, re.ASCII)).strip("_").lower()
+    """``carroId`` -> ``carro_id``, ``Reseña`` -> ``resena``.
+
+    Accents go. A capital or an underscore starts a new word, as does the first letter or digit
+    after characters that are neither; a capital in such a place starts two, one of them empty.
+    """
+    words: list[str] = []
+    within, first = False, True
+    for sign in unicodedata.normalize("NFKD", name):
+        if unicodedata.combining(sign):
+            continue
+        starts, first = not first, False
+        if not (sign.isascii() and (sign.isalnum() or sign == "_")):
+            within = False
+            continue
+        if not within:
+            words.append("")
+            within = True
+        if sign == "_" or starts and sign.isupper():
+            words.append("")
+        if sign != "_":
+            words[-1] += sign.lower()
+    return "_".join(words).strip("_")
 
 
 def snake_columns(df: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ratelens.functions.convert import ref
+from ratelens.sources.lines import joined_lines
+
 EMPTY_CATALOGUE = T.StructType([
     T.StructField("id_vehiculo", T.StringType()),
     T.StructField("marca", T.StringType()),
@@ -17,8 +19,10 @@ EMPTY_CATALOGUE = T.StructType([
 
 
 def _csv_options(multi_line: bool) -> dict[str, object]:
-    # A doubled quote inside a quoted field is one quote, as spreadsheet programs write it.
-    return {"header": True, "escape": '"', "multiLine": multi_line}
+    # A doubled quote inside a quoted field is one quote, as spreadsheet programs write it. A record
+    # with too few or too many fields fails; for that all fields are parsed, also those not asked for.
+    return {"header": True, "escape": '"', "multiLine": multi_line, "mode": "FAILFAST",
+            "columnPruning": False}
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str],
@@ -30,20 +34,31 @@ def read_csv(spark: SparkSession, path: str | Sequence[str],
     one every column is text, to be converted by the caller. ``infer`` reads the whole file once
     more to guess the types. Files whose header differs from the schema are an error, not a
     silent shift of columns; only a header with unnamed columns, which Spark calls ``_c0`` and so
-    on, cannot be checked. An empty text comes back as null. ``multi_line`` allows line breaks
-    inside quoted text; Spark then cannot split a file, so such tables belong in many files.
+    on, cannot be checked. An empty text comes back as null, and so does a value that its type
+    cannot hold. Texts that ``write_csv`` has put on one line get their line breaks back. In files
+    of others a quoted text may go over several lines; they need ``multi_line``, with which Spark
+    cannot split a file. Without it such a record fails the read and never becomes several rows.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.options(**_csv_options(multi_line))
     if infer:
-        return reader.option("inferSchema", True).csv(paths)
+        return _with_line_breaks(reader.option("inferSchema", True).csv(paths))
     if schema is None:
         names = reader.csv(paths).columns
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     unnamed = any(re.fullmatch(r"_c\d+", n) for n in schema.fieldNames())
-    return reader.schema(schema).option("enforceSchema", unnamed).csv(paths)
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in schema.fieldNames()])
+    raw = _with_line_breaks(reader.schema(as_text).option("enforceSchema", unnamed).csv(paths))
+    return raw.select(*[
+        ref(f.name) if isinstance(f.dataType, T.StringType) else ref(f.name).try_cast(f.dataType).alias(f.name)
+        for f in schema.fields])
+
+
+def _with_line_breaks(df: DataFrame) -> DataFrame:
+    return df.select(*[joined_lines(ref(c)).alias(c) if kind == "string" else ref(c)
+                       for c, kind in df.dtypes])
 
 
 def read_csv_groups(spark: SparkSession, globs: Sequence[str],
@@ -85,25 +100,42 @@ def or_empty(read: Callable[[], DataFrame], spark: SparkSession,
              schema: T.StructType | str) -> DataFrame:
     """The table, or one with the given columns and no rows when its path does not exist."""
     found = optional(read)
-    return spark.createDataFrame([], schema) if found is None else found
+    return empty_table(spark, schema) if found is None else found
+
+
+def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows, typed columns."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def empty_catalogue(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], EMPTY_CATALOGUE)
+    return empty_table(spark, EMPTY_CATALOGUE)
 
 
 def source_total(spark: SparkSession, read_raw: Callable[[], DataFrame],
                  read_stored: Callable[[], DataFrame]) -> DataFrame:
-    """One row ``total``: rows of the raw table, else of the stored one, else 0.
+    """One row ``total``, ``origen``: rows of the raw table, else of the stored one, else 0.
+
+    Only a table whose path does not exist falls through to the next; other errors are raised.
+    ``origen`` names the table that was counted: ``original``, ``guardado`` or null.
+    """
+    for origin, read in (("original", read_raw), ("guardado", read_stored)):
+        found = optional(read)
+        if found is not None:
+            return found.agg(F.count(F.lit(1)).alias("total"), F.lit(origin).alias("origen"))
+    return spark.range(1).select(F.lit(0).cast("bigint").alias("total"),
+                                 F.lit(None).cast("string").alias("origen"))
+
+
+def read_files(df: DataFrame) -> DataFrame:
+    """``archivo``, ``n_filas``, ``modificado``: the files a table is read from, rows and time of each.
 
-    A table that is missing or cannot be opened falls through to the next.
+    For a table read from files, before any other operation on it.
     """
-    for read in (read_raw, read_stored):
-        try:
-            return read().agg(F.count(F.lit(1)).alias("total"))
-        except (PySparkException, Py4JError):
-            continue
-    return spark.range(1).select(F.lit(0).cast("bigint").alias("total"))
+    return df.groupBy(F.col("_metadata.file_name").alias("archivo")).agg(
+        F.count(F.lit(1)).alias("n_filas"),
+        F.max("_metadata.file_modification_time").alias("modificado"))
 
 
 def freshness(spark: SparkSession, path: str) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 
+from ratelens.functions.convert import ref
 from ratelens.operators.ranking import report_order
+from ratelens.sources.lines import one_line
+from ratelens.sources.shared import stored
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -18,11 +20,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV directory with a header in each part file, replaced as a whole.
 
-    Blanks around text are kept and quotes are doubled, so ``read_csv`` gives the same values
-    back, but for an empty text, which CSV does not tell from a missing one.
+    Blanks around text are kept, quotes are doubled and line breaks are escaped, so that each row is
+    one line. ``read_csv`` gives the same values back, but for an empty text, which CSV does not tell
+    from a missing one.
     """
+    lines = df.select(*[one_line(ref(c)).alias(c) if kind == "string" else ref(c)
+                        for c, kind in df.dtypes])
     (
-        df.write.mode("overwrite")
+        lines.write.mode("overwrite")
         .options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
                  ignoreTrailingWhiteSpace=False)
         .csv(path)
@@ -36,13 +41,10 @@ def write_report(df: DataFrame, path: str, at_most: int) -> None:
     leaves one partition of at most that many rows, after the aggregation has run in parallel;
     ``coalesce(1)`` would pull the aggregation itself into one task.
     """
-    bounded = df.limit(at_most + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if bounded.count() > at_most:
-            raise ValueError(f"more than {at_most} rows: use write_csv")
-        write_csv(bounded, path)
-    finally:
-        bounded.unpersist()
+    bounded = stored(df.limit(at_most + 1), "report")
+    if bounded.count() > at_most:
+        raise ValueError(f"more than {at_most} rows: use write_csv")
+    write_csv(bounded, path)
 
 
 def write_sorted(df: DataFrame, path: str, *order: Column, copies: bool = False) -> None:
@@ -52,13 +54,13 @@ def write_sorted(df: DataFrame, path: str, *order: Column, copies: bool = False)
 
 def write_each(df: DataFrame, paths: Sequence[str],
                write: Callable[[DataFrame, str], None] = write_csv) -> None:
-    """The same result to several places, computed once."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for path in paths:
-            write(df, path)
-    finally:
-        df.unpersist()
+    """The same result to several places, computed once, into a table in the shared folder.
+
+    The order of a sorted result is kept: one part file there is one part file in each place.
+    """
+    once = stored(df, "each")
+    for path in paths:
+        write(once, path)
 
 
 def preview(df: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratelens.functions import convert as C
@@ -10,7 +11,7 @@ from ratelens.operators.sampling import hash_sample
 from ratelens.plans import dashboards, jobs, reports
 from ratelens.sources import frames, names, readers, writers
 from ratelens.sources.shared import new_folder
-from suite.cases import SQL_RATINGS, case, half_up, ratings, reviews, table
+from suite.cases import SQL_RATINGS, case, half_up, ratings, reviews, rounded, table
 
 
 # ---- files written and read back ---------------------------------------------------------
@@ -32,7 +33,23 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "texts-csv")
     writers.write_csv(table(spark, sf_dir, "conversations"), path)
     return readers.read_csv(
-        spark, path, "conv_id bigint, turn bigint, role string, text string", multi_line=True)
+        spark, path, "conv_id bigint, turn bigint, role string, text string")
+
+
+@case("csv_reviews_report", """
+    select role as usuario, count(*) as n_resenas,
+           cast(round(cast(avg(length(text)) as decimal(28, 12)), 6) as double)
+               as longitud_media_resena
+    from conversations group by 1
+""")
+def csv_reviews_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews whose texts hold line breaks, written and read by defaults, then reported on."""
+    path = new_folder(spark, "reviews-csv")
+    writers.write_csv(table(spark, sf_dir, "conversations").select(
+        F.col("role").alias("username"), F.col("text").alias("comentario"),
+        F.lit("2024-01-02").alias("fecha"), F.col("conv_id").alias("idVehiculo")), path)
+    users = jobs.report_by_view(spark, "resenas", reviews=path)["usuarios_agg"]
+    return rounded(users, 6, "longitud_media_resena")
 
 
 @case("csv_untyped", """
@@ -78,7 +95,8 @@ def two_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report saved to two folders; the second is read back."""
     first, second = new_folder(spark, "first"), new_folder(spark, "second")
     report = reports.reviews_report(reviews(spark, sf_dir))
-    jobs.save({"resenas_diarias": report["resenas_diarias"]}, first, second)
+    jobs.save({"resenas_diarias": report["resenas_diarias"]}, first, second,
+              write=writers.write_csv)
     return readers.read_csv(spark, f"{second}/resenas_diarias", "fecha_d date, n_resenas bigint")
 
 
@@ -122,7 +140,7 @@ def stored_users_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.stored_reviews_page(None, readers.read_table(spark, path))["total"]
 
 
-@case("source_total", "select count(*) as total from part")
+@case("source_total", "select count(*) as total, 'guardado' as origen from part")
 def source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table is missing, so the stored one is counted."""
     return readers.source_total(
@@ -130,9 +148,58 @@ def source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda: table(spark, sf_dir, "part"))
 
 
-@case("source_freshness")
+@case("source_freshness", """
+    select 'part.parquet' as archivo, count(*) as n_filas, true as con_fecha from part
+    union all select 'supplier.parquet', count(*), true from supplier
+    union all select 'customer.parquet', count(*), true from customer
+""")
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.freshness(spark, f"{sf_dir}/*.parquet")
+    """Files, their rows and whether their time is known, of three tables as they are read."""
+    files = [readers.read_files(table(spark, sf_dir, t)) for t in ("part", "supplier", "customer")]
+    return readers.union_by_name(files).select(
+        "archivo", "n_filas", F.col("modificado").isNotNull().alias("con_fecha"))
+
+
+@case("source_required", """
+    select 'PATH_NOT_FOUND' as condicion, count(*) as n_filas from part
+""")
+def source_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A required table that is there is read; one that is not fails by this condition."""
+    try:
+        readers.read_table(spark, f"{sf_dir}/no_such_table.parquet")
+        condition = None
+    except AnalysisException as problem:
+        condition = problem.getCondition()
+    return table(spark, sf_dir, "part").agg(
+        F.lit(condition).alias("condicion"), F.count(F.lit(1)).alias("n_filas"))
+
+
+@case("source_empty_catalogue", """
+    select cast(p_partkey as varchar) as id_vehiculo, p_brand as marca, p_name as nombre_vehiculo
+    from part
+""")
+def source_empty_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed catalogue without rows, which missing files give, united with one from a table."""
+    empty = reports.build_catalogue(spark, [f"{sf_dir}/no_such_*.csv"])
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_brand").alias("make"),
+        F.col("p_name").alias("modelo"))
+    return empty.unionByName(reports.catalogue_from(parts))
+
+
+@case("users_profile_run", """
+    select summary, c_custkey, c_name from (
+        select 'count' as summary, cast(count(c_custkey) as varchar) as c_custkey,
+               cast(count(c_name) as varchar) as c_name, 1 as k from customer
+        union all select 'min', min(cast(c_custkey as varchar)), min(c_name), 2 from customer
+        union all select 'max', max(cast(c_custkey as varchar)), max(c_name), 3 from customer)
+""")
+def users_profile_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users by name of the run: their statistics, as text."""
+    path = new_folder(spark, "users-csv")
+    writers.write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), path)
+    run = jobs.report_by_type(spark, "usuarios", autos=path, users=path)
+    return run["usuarios_describe"].where("summary in ('count', 'min', 'max')")
 
 
 # ---- catalogue ---------------------------------------------------------------------------
@@ -208,7 +275,7 @@ def hash_sample_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @case("sampled_catalogue", f"""
-    with d as (select * from {SQL_DRAWN} order by {SQL_HASH}, p_partkey limit 5000),
+    with d as (select * from {SQL_DRAWN}),
     a as (select id, avg(stars) as mean, count(*) as n from ({SQL_RATINGS}) group by id)
     select p_name as vehiculo, p_size as anio, p_type as estado,
            coalesce({half_up('mean', 2)}, 0.0) as promedio_calificacion,
@@ -224,8 +291,13 @@ def sampled_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case("coerced_values", """
     with t as (
-        select event_id, case event_type when 'error' then 'bad' when 'view' then 'NaN'
-                         else cast(value as varchar) end as v,
+        select event_id, case when event_type = 'error' then 'bad'
+                              when event_type = 'view' then 'NaN'
+                              when event_id % 7 = 0 then cast(round(value) as varchar) || 'e2'
+                              when event_id % 7 = 1 then '-' || cast(value as varchar)
+                              when event_id % 7 = 2 then ' ' || cast(value as varchar) || ' '
+                              when event_id % 7 = 3 then ''
+                              else cast(value as varchar) end as v,
                case event_type when 'error' then 'x' else cast(ts as varchar) end as d
         from events)
     select event_id, nullif(try_cast(v as double), 'NaN'::double) as numero,
@@ -236,11 +308,15 @@ def sampled_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     from t
 """)
 def coerced_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers and dates kept as text, some of them unreadable."""
+    """Numbers and dates kept as text: exponents, signs, blanks, nothing, and some unreadable."""
     kind = F.col("event_type")
     raw = table(spark, sf_dir, "events").select(
         "event_id",
         F.when(kind == "error", "bad").when(kind == "view", "NaN")
+        .when(F.col("event_id") % 7 == 0, F.concat(F.round("value").cast("string"), F.lit("e2")))
+        .when(F.col("event_id") % 7 == 1, F.concat(F.lit("-"), F.col("value").cast("string")))
+        .when(F.col("event_id") % 7 == 2, F.concat(F.lit(" "), F.col("value").cast("string"), F.lit(" ")))
+        .when(F.col("event_id") % 7 == 3, "")
         .otherwise(F.col("value").cast("string")).alias("v"),
         F.when(kind == "error", "x").otherwise(F.col("ts").cast("string")).alias("d"))
     return names.project(raw, {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratelens.functions.match import search
-from ratelens.operators import metrics, ranking, reshape
+from ratelens.operators import joins, metrics, ranking, reshape
 from ratelens.plans import dashboards, reports
 from suite.cases import SQL_RATINGS, case, catalogue, half_up, ratings, reviews, rounded, table
 
@@ -59,23 +59,38 @@ def vehicles_top_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case("vehicles_any_order", f"""
     with {SQL_STORED} select vehiculo_label, promedio_calificacion from s
-    order by anio, vehiculo_label limit 50
+    order by anio, vehiculo_label limit 400
 """)
 def vehicles_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A longer list than allowed is asked for."""
     return dashboards.vehicle_list(
-        stored(spark, sf_dir), order="anio", direction="asc", top="400")["grafica"]
+        stored(spark, sf_dir), order="anio", direction="asc", top=400)["grafica"]
 
 
-@case("vehicles_table", f"""
-    with {SQL_STORED} select * from s
-    order by promedio_calificacion desc, vehiculo_label, anio limit 500
-""")
+@case("vehicles_table", f"with {SQL_STORED} select * from s")
 def vehicles_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An unknown column is asked for, so the mean decides."""
+    """The whole table. An unknown column is asked for, so the mean decides."""
     return dashboards.vehicle_list(stored(spark, sf_dir), order="no_existe")["tabla"]
 
 
+@case("vehicles_table_page", f"""
+    with {SQL_STORED} select * from s
+    order by promedio_calificacion desc, vehiculo_label, anio limit 300 offset 200
+""")
+def vehicles_table_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """300 rows after the first 200."""
+    return dashboards.vehicle_list(stored(spark, sf_dir), page_rows=300, start=200)["tabla"]
+
+
+@case("vehicles_unknown_order", f"""
+    with {SQL_STORED}
+    select vehiculo_label, promedio_calificacion, n_resenas from s
+    order by promedio_calificacion desc, n_resenas desc, vehiculo_label, anio limit 20
+""")
+def vehicles_unknown_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order that nobody knows is the best first."""
+    return dashboards.vehicles_page(stored(spark, sf_dir), order="otro")["top"]
+
+
 @case("vehicles_count", f"with {SQL_STORED} select count(*) as total from {SQL_FOUND}")
 def vehicles_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.vehicle_list(stored(spark, sf_dir), QUERY)["total"]
@@ -95,9 +110,10 @@ SQL_VEHICLES = f"""
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard as a stored table, which the pages read; an id then is a filter on the scan."""
     both = reports.vehicles_report(
         ratings(spark, sf_dir), reviews(spark, sf_dir).drop("comentario"))
-    return rounded(both, 6, "promedio_calificacion")
+    return joins.stored(rounded(both, 6, "promedio_calificacion"), "vehicles")
 
 
 @case("vehicle_search", f"""

@@ -94,7 +94,7 @@ def one_id_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case("scorecard_hot_id", _label_sql(SQL_LABEL_ID, SQL_ONE_ID))
 def scorecard_hot_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of ids with 50 rows or more are joined apart; normally a million is hot."""
+    """Ids with 50 rows or more are split into shares; normally a million is hot."""
     return reports.named_scorecard(
         ratings(spark, sf_dir), one_id_catalogue(spark, sf_dir), "id", check_overlap=False,
         hot_rows=50)
@@ -441,8 +441,7 @@ def brand_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def brand_rollup_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands with at least the average number of ratings; the bound follows the data."""
-    rated = scores(spark, sf_dir)
-    brands = metrics.brand_rollup(rated)
+    brands = joins.stored(metrics.brand_rollup(scores(spark, sf_dir)), "brands")
     bound = brands.agg(F.avg("total_calificaciones")).scalar()
     return _brand_round(brands.where(F.col("total_calificaciones") >= bound))
 

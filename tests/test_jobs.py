@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from ratelens.operators.joins import NoOverlap
 from ratelens.plans import dashboards, jobs, reports
 from ratelens.sources.readers import read_csv, read_table
-from ratelens.sources.writers import write_csv, write_table
+from ratelens.sources.writers import write_csv
 
 RATINGS = """,estrellas,creado_en
 7,5,2024-01-02 10:00:00
@@ -40,7 +40,7 @@ def files(tmp_path):
 
 def test_ratings_to_page(spark, files):
     jobs.save(jobs.report_by_view(spark, " Calificaciones ", f"{files}/calificaciones.csv"),
-              f"{files}/out")
+              f"{files}/out", write=write_csv)
     page = dashboards.stored_ratings_page(
         read_csv(spark, f"{files}/out/distribucion_estrellas", "calificacion double, n bigint"),
         read_csv(spark, f"{files}/out/calificaciones_mensual", "ym string, n_calif bigint"))
@@ -51,7 +51,8 @@ def test_ratings_to_page(spark, files):
 
 def test_reviews_to_page(spark, files):
     jobs.save(jobs.report_by_view(
-        spark, "resenas", reviews=f"{files}/resenas.csv", multi_line=True), f"{files}/out")
+        spark, "resenas", reviews=f"{files}/resenas.csv", multi_line=True), f"{files}/out",
+        write=write_csv)
     users = read_csv(spark, f"{files}/out/usuarios_agg",
                      "usuario string, n_resenas bigint, longitud_media_resena double")
     assert rows(users) == [("ana", 2, 15.0), ("luz", 1, 2.0)]
@@ -62,7 +63,7 @@ def test_reviews_to_page(spark, files):
 def test_vehicles_to_detail(spark, files):
     report = jobs.report_by_view(
         spark, "otra", f"{files}/calificaciones.csv", f"{files}/resenas.csv", multi_line=True)
-    jobs.save(report, f"{files}/out")
+    jobs.save(report, f"{files}/out", write=write_csv)
     scores = read_csv(
         spark, f"{files}/out/vehiculos_agg",
         "id_vehiculo string, promedio_calificacion double, n_calificaciones bigint, "
@@ -87,13 +88,15 @@ def test_reports_by_type(spark, files):
              "reviews": f"{files}/resenas.csv", "users": f"{files}/catalogo.csv"}
 
     def made(kind):
-        (part,) = jobs.report_by_type(spark, kind, **paths, multi_line=True).values()
-        return rows(part)
+        part = jobs.report_by_type(spark, kind, **paths, multi_line=True)
+        return rows(next(iter(part.values())))
 
     assert made("calificaciones") == [("7", 4.5, 2), (None, 2.5, 3)]
     assert made("resenas") == [("7", 2), (None, 1)]
     assert made("autos") == [("Seven", "2001", "New", "1", "2"), ("7", "2002", "Used", "3", "4")]
     assert len(made("usuarios")) == 3
+    profile = jobs.report_by_type(spark, "usuarios", **paths)
+    assert rows(profile["usuarios_total"]) == [(3,)] and profile["usuarios_describe"].count() == 5
     with pytest.raises(ValueError, match="unknown"):
         made("motos")
 
@@ -107,7 +110,7 @@ def test_missing_inputs(spark, files):
 
 def test_scorecard_to_two_places(spark, files):
     report = jobs.scorecard(spark, f"{files}/calificaciones.csv", f"{files}/catalogo.csv", "unknown")
-    jobs.save(report, f"{files}/out", f"{files}/copy")
+    jobs.save(report, f"{files}/out", f"{files}/copy", write=write_csv)
     for folder in ("out", "copy"):
         back = read_csv(spark, f"{files}/{folder}/vehiculos_agg")
         assert sorted(rows(back), key=repr) == [
@@ -120,7 +123,7 @@ def test_scorecard_to_two_places(spark, files):
 
 def test_report_as_parquet(spark, files):
     report = jobs.report_by_view(spark, "calificaciones", f"{files}/calificaciones.csv")
-    jobs.save(report, f"{files}/p", f"{files}/q", write=write_table)
+    jobs.save(report, f"{files}/p", f"{files}/q")
     for name, part in report.items():
         for folder in "pq":
             stored = read_table(spark, f"{files}/{folder}/{name}")
@@ -137,3 +140,16 @@ def test_whole_catalogue_and_catalogue_files(spark, files):
     built = jobs.catalogue(spark, [f"{files}/catalogo*.csv", f"{files}/nada*.csv"])
     assert sorted(rows(built["vehiculos_catalogo"]), key=repr) == [
         ("7", "Seat", "Ibiza"), ("8", None, None), ("9", "Fiat", None)]
+
+
+def test_a_run_leaves_its_results_only(spark, files):
+    from pathlib import Path
+
+    from ratelens.sources.shared import shared_folder
+
+    (files / "nombres.csv").write_text("id_vehiculo,vehiculo,anio\n7,Ibiza,2001\n5,Uno,\n")
+    before = set(Path(shared_folder(spark).removeprefix("file:")).iterdir())
+    jobs.run(spark, lambda: jobs.whole_catalogue(
+        spark, f"{files}/calificaciones.csv", f"{files}/nombres.csv"), f"{files}/r")
+    assert set(Path(shared_folder(spark).removeprefix("file:")).iterdir()) == before
+    assert read_table(spark, f"{files}/r/vehiculos_agg").count() == 2

@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan_of, rows, unordered
+from conftest import rows, unordered
 from pyspark.sql import functions as F
 
 from ratelens.operators import joins
@@ -16,16 +16,51 @@ def lookup_tables(spark):
     return many, one
 
 
-def test_hot_keys_are_the_largest_and_bounded(spark, monkeypatch):
+def test_hot_keys_and_their_shares(spark):
     many, _ = lookup_tables(spark)
-    assert joins.hot_keys(many, "k", 50) == [1, None]
-    assert joins.hot_keys(many, "k", 1000) == []
-    monkeypatch.setattr(joins, "MOST_HOT_KEYS", 1)
-    assert joins.hot_keys(many, "k", 1) == [1]
+    assert unordered(joins.hot_keys(many, "k", 50)) == [(1, 3), (None, 2)]
+    assert rows(joins.hot_keys(many, "k", 1000)) == []
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "right"])
-@pytest.mark.parametrize("hot_rows", [1, 5, 50, 90, 10**9])
+def test_thousands_of_hot_keys(spark, how):
+    many = spark.range(9000).selectExpr("id % 3000 as k", "id as v")
+    one = spark.range(1500, 4500).selectExpr("id as k", "id * 2 as w")
+    assert joins.hot_keys(many, "k", 2).count() == 3000
+    assert unordered(joins.lookup_join(many, one, "k", how, 2)) == unordered(many.join(one, "k", how))
+
+
+def test_split_bounds_the_rows_of_a_task(spark, tmp_path):
+    """A third of 24,000 rows has one key, another third none; a task should not get them all."""
+    spark.range(0, 24000, 1, 16).selectExpr(
+        "case when id % 3 = 0 then 1 when id % 3 = 1 then id end as k", "id as v").write.parquet(f"{tmp_path}/m")
+    one = spark.range(24000).selectExpr("id as k", "id * 2 as w")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.files.maxPartitionBytes": "20000", "spark.sql.shuffle.partitions": "16"}
+    old = {c: spark.conf.get(c, None) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        many = spark.read.parquet(f"{tmp_path}/m")
+
+        def most(hot_rows):
+            joined = joins.lookup_join(many, one, "k", "left", hot_rows)
+            return joined.select("v", F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).collect()[0][0]
+        assert most(None) >= 8000
+        assert most(500) < 4000
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
+def test_nothing_runs_while_the_plan_is_built(spark):
+    many, one = lookup_tables(spark)
+    broken = many.withColumn("k", F.expr("cast(raise_error('ran') as bigint)"))
+    joins.lookup_join(broken, one, "k", "left", 50)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "right"])
+@pytest.mark.parametrize("hot_rows", [1, 5, 50, 90, 10**9, None])
 def test_split_join_equals_plain_join(spark, how, hot_rows):
     many, one = lookup_tables(spark)
     one = one.unionByName(spark.createDataFrame([(None, "none")], one.schema))
@@ -50,16 +85,6 @@ def test_hot_keys_of_text(spark):
         many.join(one, "k", "left"))
 
 
-def test_hot_rows_are_not_shuffled_by_key(spark):
-    many, one = lookup_tables(spark)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(joins.lookup_join(many, one, "k", "left", 50))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
-
-
 def test_key_overlap(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "a long")
     right = spark.createDataFrame([(2,), (3,), (4,), (None,), (2,)], "b long")

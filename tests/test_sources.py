@@ -42,15 +42,32 @@ def test_csv_with_an_unnamed_first_column(spark, folder):
 
 TEXTS = [
     ('say "hi", all',), (" blanks ",), ("two\nlines",), ("back\\slash\"",), ("ñ\t;",), (None,),
-    ("",),
+    ("",), ("\r\n\u241bn \u241b0\u241b\n",), ("a\\nb",),
 ]
 
 
 def test_texts_survive_csv(spark, folder):
     df = spark.createDataFrame([(i, *t) for i, t in enumerate(TEXTS)], "k int, t string")
     writers.write_csv(df, f"{folder}/t")
-    back = readers.read_csv(spark, f"{folder}/t", "k int, t string", multi_line=True)
+    back = readers.read_csv(spark, f"{folder}/t", "k int, t string")
     assert unordered(back) == [(i, t or None) for i, (t,) in enumerate(TEXTS)]
+    assert back.select("k").count() == len(TEXTS)
+
+
+def test_broken_records_of_others_fail(spark, folder):
+    path = put(folder, "r.csv", 'user,text,day\nana,"line one\nline two",2024-01-02\nluz,no,2024-01-03\n')
+    schema = "user string, text string, day date"
+    for wanted in ("user", "text", "day"):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            readers.read_csv(spark, path, schema).select(wanted).collect()
+    whole = readers.read_csv(spark, path, schema, multi_line=True)
+    assert [(r.user, r.text, str(r.day)) for r in whole.collect()] == [
+        ("ana", "line one\nline two", "2024-01-02"), ("luz", "no", "2024-01-03")]
+
+
+def test_bad_values_are_missing_not_broken(spark, folder):
+    path = put(folder, "v.csv", "k,n\na,bad\nb,2\n")
+    assert rows(readers.read_csv(spark, path, "k string, n bigint")) == [("a", None), ("b", 2)]
 
 
 def test_groups_of_files(spark, folder):
@@ -87,12 +104,22 @@ def test_source_total_falls_back(spark, folder):
     def missing():
         return readers.read_table(spark, f"{folder}/nothing")
 
-    assert rows(readers.source_total(spark, lambda: spark.range(3), missing)) == [(3,)]
-    assert rows(readers.source_total(spark, missing, lambda: spark.range(2))) == [(2,)]
-    assert rows(readers.source_total(spark, missing, missing)) == [(0,)]
+    assert rows(readers.source_total(spark, lambda: spark.range(3), missing)) == [(3, "original")]
+    assert rows(readers.source_total(spark, missing, lambda: spark.range(2))) == [(2, "guardado")]
+    assert rows(readers.source_total(spark, missing, missing)) == [(0, None)]
+
+
+def test_source_total_hides_no_other_error(spark, folder):
     bad = put(folder, "bad.parquet", "no table")
-    assert rows(readers.source_total(
-        spark, lambda: readers.read_table(spark, bad), lambda: spark.range(2))) == [(2,)]
+    for read in (lambda: readers.read_table(spark, bad), lambda: spark.range(3).select("nothing")):
+        with pytest.raises(Exception, match="CANNOT_READ_FILE|UNRESOLVED_COLUMN|FAILED_READ"):
+            readers.source_total(spark, read, lambda: spark.range(2)).collect()
+
+
+def test_read_files(spark, folder):
+    spark.range(7).coalesce(1).write.parquet(f"{folder}/t")
+    (found,) = rows(readers.read_files(readers.read_table(spark, f"{folder}/t")))
+    assert found[0].startswith("part-") and found[1] == 7 and found[2] is not None
 
 
 def test_freshness(spark, folder):
@@ -143,7 +170,6 @@ def test_same_result_in_two_places(spark, folder):
     for place in "xy":
         assert unordered(readers.read_csv(spark, f"{folder}/{place}", "k long")) == [
             (k,) for k in range(5)]
-    assert not df.is_cached
 
 
 def test_preview(spark):
@@ -176,3 +202,22 @@ def test_a_cluster_must_name_its_folder():
     assert shared.shared_folder(Cluster("hdfs://data/scratch/")) == "hdfs://data/scratch"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared.shared_folder(Cluster(None))
+    assert shared.shared_folder(Cluster("file:///mnt/shared")) == "file:///mnt/shared"
+    for own in ("/tmp/checkpoints", "file:///tmp/checkpoints", "file:/tmp"):
+        with pytest.raises(RuntimeError, match="each machine"):
+            shared.shared_folder(Cluster(own))
+
+
+def test_intermediate_tables_go(spark):
+    from pathlib import Path
+
+    with shared.intermediate_tables(spark) as place:
+        assert rows(shared.stored(spark.range(2), "t")) == [(0,), (1,)]
+        local = Path(place.removeprefix("file:"))
+        assert list(local.iterdir())
+    assert not local.exists()
+    assert not shared.new_folder(spark, "t").startswith(place)
+    with pytest.raises(ZeroDivisionError), shared.intermediate_tables(spark) as place:
+        shared.stored(spark.range(2), "t")
+        1 / 0
+    assert not Path(place.removeprefix("file:")).exists()

@@ -7,8 +7,8 @@ to tell all items of a block apart. Every document is cut into overlapping passa
 item's length. A passage is projected into the space and compared with the items of its length; the
 cosine divides by the length of the whole TF-IDF row, so words that no item has count against it.
 
-A passage can reach a cosine only if enough of its weight lies on terms of the items; that bound is
-computed first for all passages, and only those that meet it are projected. Candidates are checked
+No passage has a larger cosine than with the largest weight that any item has for each of its terms;
+that bound is computed first for all passages, and only those that meet it are projected. Candidates are checked
 around the passage found: the longest common subsequence with the item's words must hold most of
 the item, or a smaller part of it together with the item's answer, which are its last words.
 """
@@ -88,6 +88,7 @@ class Space:
     terms: np.ndarray           # places with a term of some item, sorted
     axes: np.ndarray            # term x rank
     at: np.ndarray              # item x rank, of length 1 before the projection
+    most: dict[int, np.ndarray]  # by passage length: the largest weight of an item for each term
 
 
 def randomised_svd(rows: np.ndarray, rank: int, seed: int) -> np.ndarray:
@@ -122,7 +123,9 @@ def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> S
     np.add.at(table, (np.concatenate(rows), column), weight[np.concatenate(cells)])
     axes = randomised_svd(table, BLOCK_ITEMS, seed)
     at = table @ axes / np.linalg.norm(table, axis=1, keepdims=True)
-    return Space(items, terms, axes.astype(np.float32), at.astype(np.float32))
+    lengths = np.array([i.length for i in items])
+    most = {int(n): (at[lengths == n] @ axes.T).max(axis=0).clip(0) for n in np.unique(lengths)}
+    return Space(items, terms, axes.astype(np.float32), at.astype(np.float32), most)
 
 
 def latent_spaces(benchmark: DataFrame, weight: np.ndarray, id_col: str, text_col: str) -> Iterator[list[Space]]:
@@ -199,13 +202,13 @@ def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[d
     for space in spaces:
         place = np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)
         known = space.terms[place] == term
-        shared = np.concatenate([[0.0], np.cumsum(np.where(known, own * own, 0.0))])
         lengths = np.array([i.length for i in space.items])
-        for length in np.unique(lengths):
-            row, begin, end = _passages(words.first, int(length))
-            good = shared[end] - shared[begin] >= COSINE ** 2 * (heavy[end] - heavy[begin])
-            row, begin, end = row[good], begin[good], end[good]
+        for length, most in space.most.items():
+            row, begin, end = _passages(words.first, length)
             items = np.flatnonzero(lengths == length)
+            reach = np.concatenate([[0.0], np.cumsum(np.where(known, own * most[place], 0.0))])
+            good = reach[end] - reach[begin] >= COSINE * np.sqrt(heavy[end] - heavy[begin])
+            row, begin, end = row[good], begin[good], end[good]
             best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
             for low in range(0, len(row), 512):
                 b, e = begin[low:low + 512], end[low:low + 512]
@@ -216,16 +219,19 @@ def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[d
                 cell, times = np.unique(of * TERMS + term[token], return_counts=True)
                 whole = np.bincount(cell // TERMS, weights=(times * weight[cell % TERMS]) ** 2)
                 token, of = token[known[token]], of[known[token]]
-                row_of = np.zeros((len(b), len(space.terms)), np.float32)
-                np.add.at(row_of, (of, place[token]), own[token])
-                cosine = row_of @ space.axes @ space.at[items].T / np.sqrt(whole)[:, None]
+                # A passage has few known terms, so their axes are summed rather than its row multiplied.
+                latent = np.zeros((len(b), space.axes.shape[1]), np.float32)
+                starts = np.flatnonzero(np.diff(of, prepend=-1))
+                latent[of[starts]] = np.add.reduceat(
+                    space.axes[place[token]] * own[token, None].astype(np.float32), starts, axis=0)
+                cosine = latent @ space.at[items].T / np.sqrt(whole)[:, None]
                 for i, j in zip(*np.nonzero(cosine >= COSINE)):
                     best.setdefault((int(row[low + i]), int(items[j])), []).append(
                         (float(cosine[i, j]), int(b[i]), int(e[i])))
             for (r, j), places in best.items():
                 item = space.items[j]
                 for cosine, b, e in sorted(places, reverse=True):
-                    half = int(length) // 2
+                    half = length // 2
                     around = hashes[max(words.first[r], b - half):min(words.first[r + 1], e + half)]
                     share, answer, leak = judged(item, around.tolist())
                     if leak:

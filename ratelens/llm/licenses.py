@@ -141,13 +141,14 @@ def _damaged(text: str, rng: np.random.Generator, other: list[str]) -> str:
 
 
 def _lines(docs: DataFrame, most: int) -> list[str]:
-    """At most ``most`` paragraphs of the corpus, chosen by hash; of each at most 2000 characters."""
-    n = docs.count()
-    share = min(1.0, 4.0 * most / max(n, 1))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
-    lines = docs.where(draw).select(F.explode(F.split("text", "\n")).alias("line")) \
-        .where(F.length("line") > 0).select(F.substring("line", 1, 2000).alias("line"))
-    return [r[0] for r in lines.orderBy(F.xxhash64("line"), "line").limit(most).collect()]
+    """About ``most`` paragraphs, one each of documents chosen by hash; at most 2000 characters each."""
+    share = min(1.0, most / max(docs.count(), 1))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
+    drawn = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))) \
+        .select(lines.alias("lines"), F.xxhash64("text", "doc_id").alias("draw")).where(F.size("lines") > 0)
+    line = F.element_at("lines", F.pmod(F.col("draw"), F.size("lines")).cast("int") + 1)
+    chosen = drawn.select("draw", F.substring(line, 1, 2000).alias("line")).orderBy("draw", "line")
+    return [r["line"] for r in chosen.limit(2 * most).collect()]
 
 
 def fit(docs: DataFrame, seed: int = 7) -> Model:

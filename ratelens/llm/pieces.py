@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BATCH_CHARS = 1 << 22           # texts whose words are sorted together
+BATCH_CHARS = 1 << 21           # texts whose words are sorted together
 WORST = 10.0                    # a byte piece is so much worse than the worst piece
 
 

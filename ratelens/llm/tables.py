@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratelens.sources.shared import new_folder
+from ratelens.sources.shared import stored as kept  # noqa: F401
+
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on machines that have this folder import the package from it.
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """The table written once to the shared folder and read back; lost executors cost a re-read."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    Where it is installed, or shipped with ``--py-files``, nothing changes.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -21,4 +28,5 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -15,14 +15,14 @@ from ratelens.llm.jaccard import one_per_component
 from ratelens.llm.language import UNKNOWN, identify, learned
 from ratelens.llm.pieces import MODEL, encode
 from ratelens.llm.secrets import mask_secrets
-from ratelens.llm.tables import importable, kept, table
+from ratelens.llm.tables import kept, prepared, table
 
 LEAST_KNOWN = 0.25              # share of a text's n-grams that the languages' landmarks have
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in a learned language, in ``lang``: those without letters and in no such language go."""
-    importable(spark)
+    prepared(spark)
     judged = identify(docs, learned(docs))
     fits = (F.col("lang_pred") != UNKNOWN) & (F.col("known") >= LEAST_KNOWN)
     return judged.where(fits).withColumn("lang", F.col("lang_pred")).select(docs.columns)
@@ -30,7 +30,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of linked texts stays: the one with the smallest doc_id."""
-    importable(spark)
+    prepared(spark)
     return one_per_component(docs, "0.85", 4)
 
 
@@ -41,14 +41,14 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with secrets in the text masked and ``n_chars`` the new length."""
-    importable(spark)
+    prepared(spark)
     masked = mask_secrets(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``lang``, ``source`` and the piece ids of the text."""
-    importable(spark)
+    prepared(spark)
     ids = encode(docs, MODEL, keep=("lang", "source"))
     return ids.select("doc_id", "lang", "source", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"))
 

@@ -34,6 +34,7 @@ _ID = (1 << 63) - 1            # class ids are non-negative longs
 _TOKEN_BITS = 46
 _TOKEN = (1 << _TOKEN_BITS) - 1
 _MOST_COUNT = (1 << 17) - 1    # counts above it are one class of the order
+_FILTER_BITS = 26
 HOT_SHARE = 0.02               # of the sets; tokens in so many are not counted by shuffling them
 LEAST_HOT = 5
 BLOCK_ROWS = 512
@@ -406,20 +407,64 @@ def one_per_component(docs: DataFrame, threshold: str = "0.85", k: int = 4,
     """
     sets, linked = _sets_and_links(texts(docs, id_col, text_col), threshold, k)
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")
-    least = sets.where("set_id is not null").groupBy("set_id").agg(F.min(best).alias("best"))
-    chosen = least.join(linked, "set_id", "left").groupBy(F.coalesce("root", "set_id").alias("root")) \
-        .agg(F.min("best").alias("best")).select(F.col("best.set_id").alias("chosen_set__"), F.col("best.doc_id").alias("chosen__"))
+    per_set = sets.where("set_id is not null").groupBy("set_id").agg(
+        F.min(best).alias("best"), F.count("*").alias("rows"))
+    per_set = per_set.join(linked, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    groups = per_set.groupBy("root").agg(F.min("best").alias("best"), F.sum("rows").alias("rows")) \
+        .where("rows > 1")
+    # Sets with more than one row in their component, and what decides about each of their rows.
+    grouped = kept(per_set.select("set_id", "root").join(groups, "root").select(
+        F.col("set_id").alias("member__"), (F.col("set_id") == F.col("best.set_id")).alias("wins__"),
+        F.col("best.doc_id").alias("winner__")), "grouped")
+
+    # Most rows are alone in their component and stay where they are; the rest is joined.
+    sent = docs.sparkSession.sparkContext.broadcast(_bits_of(grouped, "member__"))
     at = docs.schema.fieldNames().index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField("set__", T.LongType())])
 
+    def rows_that(may_be_grouped: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = pa.array([_class_id(tokens) if len(tokens) else None for words in words_of(batch.column(at))
+                                for _, tokens in shingles_of(words, k)], pa.int64())
+                filled = ids.fill_null(0).to_numpy(zero_copy_only=False)
+                chosen = _may_hold(sent.value, filled) & ids.is_valid().to_numpy(zero_copy_only=False)
+                whole = pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "set__"])
+                yield whole.filter(pa.array(chosen == may_be_grouped))
+        return docs.mapInArrow(work, schema)
+
+    some = kept(rows_that(True), "members")
+    same_id = (F.col(f"`{id_col}`") <= F.col("winner__")) & (F.col(f"`{id_col}`") >= F.col("winner__")) \
+        | F.col(f"`{id_col}`").isNull() & F.col("winner__").isNull()
+    won = some.join(grouped.where("wins__"), F.col("set__") == F.col("member__")).where(same_id) \
+        .dropDuplicates(["set__"]).drop("member__", "wins__", "winner__")
+    alone = some.join(grouped, F.col("set__") == F.col("member__"), "left_anti")
+    return rows_that(False).unionByName(won).unionByName(alone).drop("set__")
+
+
+def _places(ids: np.ndarray) -> list[np.ndarray]:
+    spread = mixed(ids.astype(np.uint64))
+    return [(spread >> np.uint64(64 - _FILTER_BITS)).astype(np.int64),
+            (spread & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)]
+
+
+def _bits_of(df: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of the ids in a column, of 8 MB whatever their number."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [_class_id(tokens) if len(tokens) else None
-                   for words in words_of(batch.column(at)) for _, tokens in shingles_of(words, k)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())],
-                                             [*batch.schema.names, "set__"])
-    named = docs.mapInArrow(work, schema)
-    filled = named.where("set__ is not null")
-    stays = (F.col("set__") == F.col("chosen_set__")) & F.col(f"`{id_col}`").eqNullSafe(F.col("chosen__"))
-    some = filled.join(chosen, stays, "left_semi").dropDuplicates(["set__"])
-    return some.unionByName(named.where("set__ is null")).drop("set__")
+            places = np.concatenate(_places(batch.column(0).to_numpy()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(places >> 5), pa.array(np.int64(1) << (places & 31))], ["part", "bits"])
+    parts = df.select(column).mapInArrow(work, "part long, bits long").groupBy("part") \
+        .agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(1 << (_FILTER_BITS - 5), np.uint32)
+    out[parts["part"].to_numpy(np.int64)] = parts["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids may be in the filter; of those that are in it none is missed."""
+    out = np.ones(len(ids), bool)
+    for places in _places(ids):
+        out &= bits[places >> 5] >> (places & 31).astype(np.uint32) & np.uint32(1) == 1
+    return out

@@ -10,11 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratelens.sources.shared import stored as kept  # noqa: F401
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on machines that have this folder import the package from it.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-    Where it is installed, or shipped with ``--py-files``, nothing changes.
+
+def prepared(spark: SparkSession) -> None:
+    """Settings of the session that the operators count on, where the user has not made them.
+
+    Arrow batches of texts hold 4 MB at most, or one text, so that memory follows bytes and not rows.
+    Python workers on machines that have this folder can import the package from it; where it is
+    installed, or shipped with ``--py-files``, that changes nothing.
     """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":      # Spark's default
+        spark.conf.set(BATCH_BYTES, "4m")
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -28,5 +35,5 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

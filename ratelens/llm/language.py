@@ -162,7 +162,8 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
         score()
         return pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": chance, "known": known})
 
-    judge = F.pandas_udf(judged, "lang_pred string, score double, known double")
+    # Else a filter on the result would have every text judged twice.
+    judge = F.pandas_udf(judged, "lang_pred string, score double, known double").asNondeterministic()
     out = docs.withColumn("judged__", judge(F.col(f"`{text_col}`").cast("string")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "judged__.*")
 

@@ -12,20 +12,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratelens.llm.decontamination import without_leaks
 from ratelens.llm.jaccard import one_per_component
-from ratelens.llm.language import UNKNOWN, identify, learned
+from ratelens.llm.language import identify, in_language, learned
 from ratelens.llm.pieces import MODEL, encode
 from ratelens.llm.secrets import mask_secrets
 from ratelens.llm.tables import kept, prepared, table
 
-LEAST_KNOWN = 0.25              # share of a text's n-grams that the languages' landmarks have
-
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in a learned language, in ``lang``: those without letters and in no such language go."""
     prepared(spark)
-    judged = identify(docs, learned(docs))
-    fits = (F.col("lang_pred") != UNKNOWN) & (F.col("known") >= LEAST_KNOWN)
-    return judged.where(fits).withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    model = learned(docs)
+    judged = identify(docs, model).where(in_language(model))
+    return judged.withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,10 @@
+import random
+import string
 import zlib
 
-from ratelens.llm.language import fit, held_out, identify, language_report
+import numpy as np
+
+from ratelens.llm.language import _lowest, fit, held_out, identify, in_language, language_report, learned
 
 
 def test_held_out_accuracy(spark):
@@ -42,3 +46,28 @@ def test_columns_of_the_same_names_are_replaced(documents):
 
 def test_null_id_is_never_held_out(documents):
     assert documents((None, "x")).select(held_out().alias("h")).first().h is False
+
+
+def test_texts_in_no_learned_language_are_told_apart(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = learned(docs)
+    letters = random.Random(1)
+    foreign = {
+        "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on "
+              "annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "zh": "人人生而自由，在尊严和权利上一律平等。",
+        "random": " ".join("".join(letters.choices(string.ascii_lowercase, k=6)) for _ in range(60)),
+        "few": " ".join("".join(letters.choices("qxzjwkvy", k=6)) for _ in range(60))}
+    rows = documents(*[(i, text) for i, text in enumerate(foreign.values())])
+    assert identify(rows, model).where(in_language(model)).count() == 0
+    # Texts of the learned languages that the model has not seen stay, but for about the stated share.
+    unseen = docs.where(held_out())
+    assert identify(unseen, model).where(in_language(model)).count() >= 0.98 * unseen.count()
+
+
+def test_least_share_is_that_of_the_stated_part_of_the_texts():
+    assert _lowest(np.arange(198) / 198) is None
+    assert _lowest(np.arange(399)[::-1] / 399) == 1 / 399

@@ -7,8 +7,12 @@ damaged at random, and on a bounded sample of the corpus' own paragraphs. On hel
 templates and corpus paragraphs the probabilities are calibrated: a temperature is fitted, and the
 least probability that counts as an answer is set so that corpus paragraphs pass it at most once in
 ``1 / FALSE_RATE``. A paragraph that looks like a licence but passes for no family is ``unknown``.
-A predicted family is confirmed when enough of a template's word 2-grams, in both directions, are in
-the paragraph.
+
+Notices are sought in all stretches of words that hold enough of a template's 2-grams within the
+template's length, wherever they stand in a block of lines up to an empty one: in longer text, over
+line ends, several of them. Each stretch is classified by itself, and a family counts when a stretch
+is confirmed by one of its templates. Sampled paragraphs with something near such a stretch teach
+nothing, and no search depends on what the sample holds otherwise.
 """
 
 from __future__ import annotations
@@ -89,6 +93,7 @@ SAMPLE_PARAGRAPHS = 4000        # of the corpus, to learn what is no licence
 VARIANTS = 60                   # damaged copies of each template
 FALSE_RATE = 1e-3
 CONFIRMED = 0.6                 # share of 2-grams in common, of template and of paragraph part
+RESEMBLES = 0.45                # the same share, from which a sampled paragraph may hold a notice
 LIKE_LICENCE = 0.5              # share of known words from which a paragraph looks like one
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -116,7 +121,8 @@ class Model:
     classes: list[str]          # families, then none
     heat: float
     least: float                # probability that counts as an answer
-    background: np.ndarray      # per feature: is it in the sample of the corpus
+    shapes: np.ndarray          # template x feature, and one that no template has: is it a 2-gram of it
+    family: list[str]           # of each template
 
     def chances(self, scores: np.ndarray) -> np.ndarray:
         raised = scores / self.heat
@@ -130,6 +136,38 @@ def _find(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(known[at] == hashes, at, -1)
 
 
+def _shapes(known: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """``shapes`` and ``family`` of the model."""
+    shapes, family = [], []
+    for name in FAMILIES:
+        for _, grams in _hashed(list(TEMPLATES[name])):
+            shapes.append(np.zeros(len(known) + 1, bool))
+            shapes[-1][_find(known, grams)] = True
+            family.append(name)
+    return np.array(shapes), family
+
+
+def _stretches(two: np.ndarray, shape: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
+    """Begin, end and share of the template's 2-grams of the stretches that hold ``least`` of them.
+
+    ``two`` are consecutive 2-grams as features. Stretches are of about the template's length, do not
+    overlap, begin and end with a 2-gram of the template, and the densest comes first.
+    """
+    size = max(1, int(shape.sum()))
+    hit = shape[two]
+    span = min(size + 2, len(two))
+    while span:
+        sums = np.concatenate([[0], np.cumsum(hit)])
+        dense = sums[span:] - sums[:len(sums) - span]
+        begin = int(dense.argmax())
+        if dense[begin] < max(1, least * size):
+            return
+        inside = begin + np.flatnonzero(hit[begin:begin + span])
+        yield int(inside[0]), int(inside[-1]) + 1, float(dense[begin] / size)
+        hit = hit.copy()
+        hit[begin:begin + span] = False
+
+
 def _damaged(text: str, rng: np.random.Generator, other: list[str]) -> str:
     """A template with words lost, and words of the corpus around or inside."""
     words = [w for w in text.split() if rng.random() > 0.12] or text.split()
@@ -164,11 +202,15 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
             labels += [c] * len(variants)
     licence_words = {w.lower() for ts in TEMPLATES.values() for t in ts for w in t.split()}
     clean = [x for x in corpus if sum(w.lower() in licence_words for w in x.split()) < 0.5 * len(x.split())]
+    known = np.unique(np.concatenate([h for ts in TEMPLATES.values() for pair in _hashed(list(ts))
+                                      for h in pair]))
+    shapes, family = _shapes(known)
+    near = [any(next(_stretches(two, shape, RESEMBLES), None) for shape in shapes)
+            for two in (_find(known, grams) for _, grams in _hashed(clean))]
+    clean = [x for x, held in zip(clean, near) if not held]
     rows += clean
     labels += [len(FAMILIES)] * len(clean)
     labels = np.array(labels)
-    known = np.unique(np.concatenate([h for ts in TEMPLATES.values() for pair in _hashed(list(ts))
-                                      for h in pair]))
     holds = np.zeros((len(rows), len(known)), np.float32)
     for i, pair in enumerate(_hashed(rows)):
         found = _find(known, np.concatenate(pair))
@@ -188,8 +230,7 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
         push = 0.9 * push - speed * (x.T @ off + 1e-5 * w)
         push_b = 0.9 * push_b - speed * off.sum(axis=0)
         w, b = w + push, b + push_b
-    background = holds[labels == len(FAMILIES)].max(axis=0, initial=0) > 0
-    model = Model(known, w, b, [*FAMILIES, NONE], 1.0, 0.5, background)
+    model = Model(known, w, b, [*FAMILIES, NONE], 1.0, 0.5, shapes, family)
     # Temperature and least probability, on what the fit has not seen.
     scores, truth = holds[held_out] @ w + b, labels[held_out]
 
@@ -204,36 +245,15 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
     return model
 
 
-def _template_grams() -> dict[str, list[set[int]]]:
-    return {f: [{int(g) for g in grams} for _, grams in _hashed(list(ts))] for f, ts in TEMPLATES.items()}
-
-
-def _similarity(own: list[int], templates: list[set[int]]) -> float:
-    """The best share of a template's 2-grams that the paragraph has, within the template's length.
-
-    Both the template and the densest stretch of the paragraph of its length count, so a longer
-    paragraph around a notice does not hide it.
-    """
-    best = 0.0
-    for grams in templates:
-        size = max(1, len(grams))
-        hit = np.array([g in grams for g in own], float)
-        sums = np.concatenate([[0.0], np.cumsum(hit)])
-        span = min(size + 2, len(own))
-        dense = float((sums[span:] - sums[:len(sums) - span]).max()) if span else 0.0
-        best = max(best, dense / size)
-    return best
-
-
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_paragraphs``, ``licences``, ``found`` for each row.
 
-    ``found`` lists family, paragraph (from 0), probability and similarity of each finding;
+    ``found`` lists family, paragraph (from 0; where it begins), probability and similarity of each finding;
     ``licences`` the confirmed families, sorted, and ``unknown`` where something looks like a licence
     of no family. A null or empty text has no paragraphs. Repeated rows give repeated results.
     """
     docs = texts(docs, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast((fit(docs), _template_grams()))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
     schema = ("doc_id long, n_paragraphs long, licences array<string>, "
               "found array<struct<family: string, paragraph: int, probability: double, "
               "similarity: double>>")
@@ -242,10 +262,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         ("similarity", pa.float64())]))]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, templates = sent.value
         for batch in batches:
             for words in words_of(batch.column("text")):
-                many, found = _scanned(words, model, templates)
+                many, found = _scanned(words, sent.value)
                 names = [sorted({f["family"] for f in x}) for x in found]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[words.rows], *(pa.array(v, k) for v, k in zip(
@@ -254,7 +273,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return docs.mapInArrow(work, schema)
 
 
-def _scanned(words: Words, model: Model, templates: dict) -> tuple[list[int], list[list[dict]]]:
+def _scanned(words: Words, model: Model) -> tuple[list[int], list[list[dict]]]:
     """Paragraphs of each row, and its findings."""
     rows = len(words.first) - 1
     found: list[list[dict]] = [[] for _ in range(rows)]
@@ -269,36 +288,67 @@ def _scanned(words: Words, model: Model, templates: dict) -> tuple[list[int], li
     begin = np.flatnonzero(new)
     paragraph = np.cumsum(new) - 1
     many = np.bincount(row[begin], minlength=rows)
+    first_of_row = np.cumsum(many) - many
+    # A block ends at an empty line, or with its row.
+    apart = np.zeros(len(line), bool)
+    apart[1:] = (line[1:] - line[:-1] > 1) | (row[1:] != row[:-1])
+    block = np.cumsum(apart)
     hashes = trimmed(words).hashes()
-    pairs, at = _grams(hashes, paragraph)
+    pairs, at = _grams(hashes, block)
     one, two = _find(model.known, hashes), _find(model.known, pairs)
-    # A known 2-gram that the corpus lacks is what sets a notice apart; other lines are not scored.
-    hint = np.zeros(len(begin), bool)
-    hint[paragraph[at[two >= 0]][~model.background[two[two >= 0]]]] = True
+    seen = np.flatnonzero(two >= 0)
+    if not len(seen):
+        return many.tolist(), found
+
+    def chances(of: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        holds = np.zeros((len(of), len(model.known)), np.float32)
+        for i, own in enumerate(of):
+            own = np.concatenate(own)
+            holds[i, own[own >= 0]] = 1
+        return model.chances(holds @ model.weights + model.bias)
+
+    # No stretch of a block holds more of a template than the block.
+    places = []
+    of_block = block[at]
+    limit = np.searchsorted(of_block, np.arange(block[-1] + 2))
+    for t, shape in enumerate(model.shapes):
+        held = np.bincount(of_block[seen], weights=shape[two[seen]], minlength=block[-1] + 1)
+        for i in np.flatnonzero(held >= max(1, CONFIRMED * shape.sum())):
+            low = limit[i]
+            for a, b, alike in _stretches(two[low:limit[i + 1]], shape, CONFIRMED):
+                places.append((low + a, low + b, t, alike))
+    named: dict[tuple[int, str], tuple[float, float]] = {}
+    taken = set()
+    if places:
+        chance = chances([(one[at[a]:at[b - 1] + 2], two[a:b]) for a, b, _, _ in places])
+        for i, (a, b, t, alike) in enumerate(places):
+            best = int(chance[i, :-1].argmax())
+            if model.classes[best] == model.family[t] and chance[i, best] >= model.least:
+                key = int(paragraph[at[a]]), model.family[t]
+                named[key] = max(named.get(key, (0.0, 0.0)), (float(chance[i, best]), alike))
+                taken.update(range(key[0], int(paragraph[at[b - 1] + 1]) + 1))
+    for (p, family), (chance, alike) in named.items():
+        found[int(row[begin[p]])].append({"family": family, "paragraph": int(p - first_of_row[row[begin[p]]]),
+                                          "probability": round(chance, 6), "similarity": round(alike, 6)})
+    # Paragraphs that look like a licence as a whole.
     bounds = np.append(begin, len(line))
     share = np.add.reduceat((one >= 0).astype(float), begin) / np.diff(bounds)
-    chosen = np.flatnonzero(hint)
-    if not len(chosen):
-        return many.tolist(), found
-    holds = np.zeros((len(chosen), len(model.known)), np.float32)
-    for i, p in enumerate(chosen):
-        own = one[bounds[p]:bounds[p + 1]]
-        a, b = np.searchsorted(at, [bounds[p], bounds[p + 1]])
-        both = np.concatenate([own, two[a:b]])
-        holds[i, both[both >= 0]] = 1
-    chances = model.chances(holds @ model.weights + model.bias)
-    first_of_row = np.cumsum(many) - many
-    for i, p in enumerate(chosen):
-        best = int(chances[i, :-1].argmax())
-        a, b = np.searchsorted(at, [bounds[p], bounds[p + 1]])
-        own = [int(g) for g in pairs[a:b]]
-        family, chance = model.classes[best], float(chances[i, best])
-        alike = _similarity(own, templates[family])
-        if chance < model.least or alike < CONFIRMED:
-            if 1 - chances[i, -1] < model.least or share[p] < LIKE_LICENCE:
-                continue
-            family = UNKNOWN
-        r = int(row[bounds[p]])
-        found[r].append({"family": family, "paragraph": int(p - first_of_row[r]),
-                         "probability": round(chance, 6), "similarity": round(alike, 6)})
+    inside = seen[paragraph[at[seen]] == paragraph[at[seen] + 1]]
+    hint = np.zeros(len(begin), bool)
+    hint[paragraph[at[inside]]] = True
+    chosen = [p for p in np.flatnonzero(hint & (share >= LIKE_LICENCE)) if p not in taken]
+    if chosen:
+        spans = [np.searchsorted(at, [bounds[p], bounds[p + 1] - 1]) for p in chosen]
+        chance = chances([(one[bounds[p]:bounds[p + 1]], two[a:b]) for p, (a, b) in zip(chosen, spans)])
+        for i, p in enumerate(chosen):
+            if 1 - chance[i, -1] >= model.least:
+                best = int(chance[i, :-1].argmax())
+                a, b = spans[i]
+                alike = max((x for t, shape in enumerate(model.shapes) if model.family[t] == model.classes[best]
+                             for _, _, x in _stretches(two[a:b], shape, 0)), default=0.0)
+                found[int(row[begin[p]])].append({
+                    "family": UNKNOWN, "paragraph": int(p - first_of_row[row[begin[p]]]),
+                    "probability": round(float(chance[i, best]), 6), "similarity": round(alike, 6)})
+    for each in found:
+        each.sort(key=lambda f: (f["paragraph"], f["family"]))
     return many.tolist(), found

@@ -30,3 +30,25 @@ def test_odd_rows_and_empty_table(odd_documents, documents):
     assert len(rows) == odd_documents.count() and all(r.found == [] for r in rows)
     assert {r.n_paragraphs for r in rows if r.doc_id in (1, 2, 3)} == {0}
     assert scan(documents()).collect() == []
+
+
+def test_frequent_embedded_and_wrapped_notices(spark, documents):
+    corpus = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+              .select("doc_id", "text").collect()]
+    plain = " ".join(w for _, text in corpus[:3] for w in text.split() if w.isalpha())[:1500]
+    mit, gpl = NOTICES["MIT"], NOTICES["GPL"]
+    # A third of the rows: one line with the notice amid other words.
+    frequent = [(30_000 + i, f"{plain[i:]} {mit} {plain[2 * i:]}") for i in range(len(corpus) // 2)]
+    rows = [(40_000, mit), (40_001, f"{plain} {mit} {plain} {gpl} {plain}"),
+            (40_002, "This work is licensed under the\nGNU General Public\nLicense, version 3.\n\nother words"),
+            (40_003, "This work is licensed under the\n\nother words\n\nPublic License, version 3."),
+            (40_004, "\n".join([mit, "other words", mit])),
+            (40_005, f"{plain} This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+                     f"International License. {plain}")]
+    got = {r.doc_id: r for r in scan(documents(*corpus, *frequent, *rows)).collect()}
+    assert [i for i, _ in frequent if got[i].licences != ["MIT"]] == []
+    assert got[40_000].licences == ["MIT"] and got[40_001].licences == ["GPL", "MIT"]
+    assert [(f.family, f.paragraph) for f in got[40_002].found] == [("GPL", 0)]
+    assert "GPL" not in got[40_003].licences
+    assert [(f.family, f.paragraph) for f in got[40_004].found] == [("MIT", 0), ("MIT", 2)]
+    assert got[40_005].licences == ["CC-BY-SA"]

@@ -8,8 +8,11 @@ item's length. A passage is projected into the space and compared with the items
 cosine divides by the length of the whole TF-IDF row, so words that no item has count against it.
 
 No passage has a larger cosine than with the largest weight that any item has for each of its terms;
-that bound is computed first for all passages, and only those that meet it are projected. Candidates are checked
-around the passage found: the longest common subsequence with the item's words must hold most of
+that bound is computed first for all passages, and only those that meet it are projected. A cosine
+misses copies of a passage that many documents hold, as its words weigh little beside their
+neighbours. So passages are candidates as well when the words around them are, without weights, as
+many of an item's as any leak needs; to have that many of all, they need a few of the item's rarest
+ones, which is looked for first. Candidates are checked around the passage found: the longest common subsequence with the item's words must hold most of
 the item, or a smaller part of it together with the item's answer, which are its last words.
 """
 
@@ -33,6 +36,7 @@ PASS_BLOCKS = 16                # spaces that are sent out at once; more take an
 SHORTEST = 16                   # words of the shortest passage; the others are 2, 4, ... times it
 COSINE = 0.45
 SURE, LIKELY, ANSWER = 0.65, 0.45, 0.75     # shares of the item and of its answer in common
+RAREST = 3                      # words of an item's rarer part that a passage with a leak has
 ANSWER_PART = 5                 # the answer is the last 1/5 of an item, three words at least
 
 
@@ -89,6 +93,8 @@ class Space:
     axes: np.ndarray            # term x rank
     at: np.ndarray              # item x rank, of length 1 before the projection
     most: dict[int, np.ndarray]  # by passage length: the largest weight of an item for each term
+    times: np.ndarray           # term x item: how often the item has it
+    rare: dict[int, np.ndarray]  # by passage length: for each term, the part of the needed rarer words
 
 
 def randomised_svd(rows: np.ndarray, rank: int, seed: int) -> np.ndarray:
@@ -103,6 +109,29 @@ def randomised_svd(rows: np.ndarray, rank: int, seed: int) -> np.ndarray:
     return np.linalg.svd(basis.T @ rows, full_matrices=False)[2][:rank].T
 
 
+def _needed(n: int) -> int:
+    """Words in common that a leak of an item of n words has at least."""
+    return max(1, int(np.ceil(min(SURE, LIKELY) * n - 1e-9)))
+
+
+def _rare(times: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """For each term the largest part that one occurrence makes up of the rarer words an item needs.
+
+    ``times`` is term x item. Of n words ``m`` are needed, so k of the n - m + k rarest are, for each k
+    up to m: only the m - k most common ones can be had besides. Words around a leak sum to 1 or more.
+    """
+    out = np.zeros(len(weight))
+    order = np.argsort(-weight, kind="stable")
+    for own in times.T:
+        n = int(own.sum())
+        m = _needed(n)
+        k = min(RAREST, m)
+        before = np.cumsum(own[order]) - own[order]
+        rarer = order[(own[order] > 0) & (before < n - m + k)]
+        out[rarer] = np.maximum(out[rarer], 1 / k)
+    return out
+
+
 def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> Space | None:
     items, rows, cells = [], [], []
     for words in _lower_words(texts_):
@@ -125,7 +154,10 @@ def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> S
     at = table @ axes / np.linalg.norm(table, axis=1, keepdims=True)
     lengths = np.array([i.length for i in items])
     most = {int(n): (at[lengths == n] @ axes.T).max(axis=0).clip(0) for n in np.unique(lengths)}
-    return Space(items, terms, axes.astype(np.float32), at.astype(np.float32), most)
+    times = np.zeros((len(terms), len(items)), np.int32)
+    np.add.at(times, (column, np.concatenate(rows)), 1)
+    rare = {int(n): _rare(times[:, lengths == n], weight[terms]) for n in np.unique(lengths)}
+    return Space(items, terms, axes.astype(np.float32), at.astype(np.float32), most, times, rare)
 
 
 def latent_spaces(benchmark: DataFrame, weight: np.ndarray, id_col: str, text_col: str) -> Iterator[list[Space]]:
@@ -191,6 +223,23 @@ def _passages(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, n
     return row, begin, np.minimum(begin + length, first[row + 1])
 
 
+def _shared(left: np.ndarray, right: np.ndarray, place: np.ndarray, known: np.ndarray,
+            times: np.ndarray) -> np.ndarray:
+    """Words, with their number, that each stretch of words has in common with each item."""
+    size = right - left
+    of = np.repeat(np.arange(len(left)), size)
+    token = np.repeat(left - (np.cumsum(size) - size), size) + np.arange(len(of))
+    token, of = token[known[token]], of[known[token]]
+    out = np.zeros((len(left), times.shape[1]), np.int64)
+    cell, often = np.unique(of * len(times) + place[token], return_counts=True)
+    of = cell // len(times)
+    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    if len(starts):
+        both = np.minimum(often[:, None], times[cell % len(times)])
+        out[of[starts]] = np.add.reduceat(both, starts, axis=0)
+    return out
+
+
 def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[dict]]:
     """The leaks in each row of a chunk."""
     out: list[list[dict]] = [[] for _ in range(len(words.first) - 1)]
@@ -208,7 +257,14 @@ def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[d
             items = np.flatnonzero(lengths == length)
             reach = np.concatenate([[0.0], np.cumsum(np.where(known, own * most[place], 0.0))])
             good = reach[end] - reach[begin] >= COSINE * np.sqrt(heavy[end] - heavy[begin])
-            row, begin, end = row[good], begin[good], end[good]
+            # Words around each passage, those that a candidate is checked in.
+            left = np.maximum(words.first[row], begin - length // 2)
+            right = np.minimum(words.first[row + 1], end + length // 2)
+            rarer = np.concatenate([[0.0], np.cumsum(np.where(known, space.rare[length][place], 0.0))])
+            good |= rarer[right] - rarer[left] >= 1 - 1e-6
+            row, begin, end, left, right = (x[good] for x in (row, begin, end, left, right))
+            held = space.times[:, items]
+            needed = np.array([_needed(len(space.items[j].words)) for j in items])
             best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
             for low in range(0, len(row), 512):
                 b, e = begin[low:low + 512], end[low:low + 512]
@@ -225,15 +281,14 @@ def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[d
                 latent[of[starts]] = np.add.reduceat(
                     space.axes[place[token]] * own[token, None].astype(np.float32), starts, axis=0)
                 cosine = latent @ space.at[items].T / np.sqrt(whole)[:, None]
-                for i, j in zip(*np.nonzero(cosine >= COSINE)):
+                shared = _shared(left[low:low + 512], right[low:low + 512], place, known, held)
+                for i, j in zip(*np.nonzero((cosine >= COSINE) | (shared >= needed))):
                     best.setdefault((int(row[low + i]), int(items[j])), []).append(
-                        (float(cosine[i, j]), int(b[i]), int(e[i])))
+                        (float(cosine[i, j]), int(b[i]), int(e[i]), int(left[low + i]), int(right[low + i])))
             for (r, j), places in best.items():
                 item = space.items[j]
-                for cosine, b, e in sorted(places, reverse=True):
-                    half = length // 2
-                    around = hashes[max(words.first[r], b - half):min(words.first[r + 1], e + half)]
-                    share, answer, leak = judged(item, around.tolist())
+                for cosine, _, _, a, z in sorted(places, reverse=True):
+                    share, answer, leak = judged(item, hashes[a:z].tolist())
                     if leak:
                         out[r].append({"item_id": item.item_id, "cosine": round(cosine, 6),
                                        "common": round(share, 6), "answer": round(answer, 6)})

@@ -85,3 +85,22 @@ def test_odd_rows_and_empty_tables(odd_documents, documents, benchmark):
     assert kept.columns == odd_documents.columns and kept.count() == odd_documents.count() - 2
     assert leaks(documents(), odd).collect() == [] and leaks(odd_documents, benchmark((1, "x")).limit(0)).collect() == []
     assert without_leaks(odd_documents, benchmark((1, "x")).limit(0)).count() == odd_documents.count()
+
+
+def test_copies_of_a_passage_in_a_third_of_the_rows(documents, spark):
+    """Its words weigh little and the others much, so its cosine is low in all rows."""
+    sizes = (17, 33, 40, 59)
+    items = [" ".join(f"item{n}word{i}" for i in range(n)) for n in sizes]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+
+    def around(i, inside):
+        return " ".join([*(f"before{i}x{k}" for k in range(70)), inside, *(f"after{i}x{k}" for k in range(70))])
+    held = [(i, around(i, " ".join(items))) for i in range(0, 50)]
+    held += [(100 + i * 10 + j, around(100 + i * 10 + j, item)) for i in range(3) for j, item in enumerate(items)]
+    most = [(200 + j, around(200 + j, " ".join(item.split()[:-(-n * 13 // 20)])))
+            for j, (n, item) in enumerate(zip(sizes, items))]
+    plain = [(1000 + i, around(1000 + i, "nothing")) for i in range(100)]
+    got = {(r.doc_id, r.item_id) for r in leaks(documents(*held, *most, *plain), benchmark).collect()}
+    expected = {(i, j) for i in range(50) for j in range(4)}
+    expected |= {(100 + i * 10 + j, j) for i in range(3) for j in range(4)} | {(200 + j, j) for j in range(4)}
+    assert got == expected

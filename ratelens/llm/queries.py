@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ratelens.llm.brown import scores
+from ratelens.llm.byte_tokens import encoding_digests
 from ratelens.llm.decontamination import leaks
 from ratelens.llm.jaccard import jaccard_components
 from ratelens.llm.language import language_report
@@ -61,6 +63,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -72,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 # For each query that SQL can express on whole tables. Components: every document starts at its
 # own id and reaches what linked pairs lead to.

@@ -16,6 +16,7 @@ from ratelens.llm.licenses import scan
 from ratelens.llm.pieces import encoding_report
 from ratelens.llm.pii import with_surrogates
 from ratelens.llm.quality import quality_report
+from ratelens.llm.ranked import ranked_documents
 from ratelens.llm.secrets import secret_report
 from ratelens.llm.tables import table
 from ratelens.llm.urls import judged_urls
@@ -68,6 +69,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_ranked_search": op12_ranked_search,
 }
 # For each query that SQL can express on whole tables. Components: every document starts at its
 # own id and reaches what linked pairs lead to.
@@ -149,4 +155,29 @@ SQL: dict[str, str] = {
         from documents d left join sizes using (doc_id)
         join (select x as doc_id, min(y) as least from reach group by x) using (doc_id)
     """,
+    "op12_ranked_search": r"""
+        with terms as (
+            select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents where text is not null),
+        held as (select doc_id, term, count(*) as tf from terms group by all),
+        lengths as (select doc_id, sum(tf)::bigint as n from held group by doc_id),
+        corpus as (select count(*) as d, sum(n)::bigint as l from lengths),
+        weights as (
+            select term, floor(1000 * ln((2 * d + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from held, corpus group by term, d),
+        asked as (
+            select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark where text is not null),
+        scored as (
+            select item_id, doc_id, sum(w * ((1000000000 * tf)
+                // (1000 * tf + 12 * (75 + (25 * n * d) // l))))::bigint as score
+            from asked join held using (term) join weights using (term) join lengths using (doc_id), corpus
+            group by item_id, doc_id)
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank,
+               doc_id, score
+        from scored where score > 0
+        qualify row_number() over (partition by item_id order by score desc, doc_id) <= 20
+    """,
 }

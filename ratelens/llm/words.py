@@ -78,8 +78,8 @@ def trimmed(words: Words) -> Words:
     return Words(words.rows, words.data, begin, end, words.first)
 
 
-def words_of(texts: pa.Array) -> Iterator[Words]:
-    """The words of an Arrow column of strings, chunk by chunk."""
+def words_of(texts: pa.Array, between: np.ndarray = SPACE) -> Iterator[Words]:
+    """The words of an Arrow column of strings, chunk by chunk; ``between`` tells which bytes part them."""
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     body = texts.buffers()[2]
@@ -90,7 +90,7 @@ def words_of(texts: pa.Array) -> Iterator[Words]:
         after = min(max(after, row + 1), len(texts))
         data = every[offsets[row]:offsets[after]]
         bounds = offsets[row:after + 1] - offsets[row]
-        space = SPACE[data]
+        space = between[data]
         filled = bounds[:-1][np.diff(bounds) > 0]
         opens = np.ones(len(data), bool)
         opens[1:] = space[:-1]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ratelens.llm.alignment import aligned_documents
 from ratelens.llm.brown import scores
 from ratelens.llm.byte_tokens import encoding_digests
 from ratelens.llm.decontamination import leaks
@@ -73,6 +74,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_ranked_search": op12_ranked_search,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 # For each query that SQL can express on whole tables. Components: every document starts at its
 # own id and reaches what linked pairs lead to.

@@ -45,13 +45,15 @@ def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "left",
     dealt = many.join(hot, is_hot, "left").withColumn("_share", F.coalesce(
         F.pmod(F.spark_partition_id(), F.col("_shares")), F.lit(0))).drop("_hot", "_shares")
     shares = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)
-    copies = one.join(hot, is_hot, "left").withColumn("_share", F.explode(shares)) \
-        .drop("_hot", "_shares")
-    joined = dealt.join(copies, [key, "_share"], "left" if how == "left" else "inner").drop("_share")
+    copies = one.join(hot, is_hot, "left").withColumn("_share", F.explode(shares)).drop("_hot")
     if how != "right":
-        return joined
-    alone = one.join(many.select(ref(key)).distinct(), key, "left_anti")
-    return joined.unionByName(alone, allowMissingColumns=True)
+        copies = copies.drop("_shares")
+    if how != "right":
+        return dealt.join(copies, [key, "_share"], how).drop("_share")
+    # A hot key has rows, so a copy of its row that meets none in its share is no row of the result.
+    joined = dealt.withColumn("_met", F.lit(True)).join(
+        copies.withColumnRenamed("_shares", "_split"), [key, "_share"], "right")
+    return joined.where(F.col("_met").isNotNull() | F.col("_split").isNull()).drop("_share", "_met", "_split")
 
 
 def name_spellings(catalogue: DataFrame, name: str, one_per_key: bool = False) -> DataFrame:

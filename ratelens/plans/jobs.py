@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ratelens.plans import reports
 from ratelens.sources import writers
 from ratelens.sources.readers import read_csv
+from ratelens.sources.records import read_csv_apart
 from ratelens.sources.shared import intermediate_tables
 
 # Names of the runs.
@@ -17,19 +18,21 @@ RATINGS, REVIEWS, VEHICLES, AUTOS, USERS = (
 
 
 def report_by_view(spark: SparkSession, view: str, ratings: str | None = None,
-                   reviews: str | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
+                   reviews: str | None = None, multi_line: bool = False,
+                   aside: str | None = None) -> dict[str, DataFrame]:
     """The report of one view, from CSV paths; any other name than the first two is vehicles.
 
     A path the view does not need may be left out. ``multi_line`` is for reviews whose text holds
-    line breaks; each of their files is then read by one task.
+    line breaks; each of their files is then read by one task. With ``aside`` broken records do not
+    end the run: they are written to a folder of that name, by table, and the others are reported on.
     """
     wanted = view.strip().lower()
     if wanted == RATINGS:
-        return reports.ratings_report(_read(spark, ratings, RATINGS), one_pass=True)
+        return reports.ratings_report(_read(spark, ratings, RATINGS, aside=aside), one_pass=True)
     if wanted == REVIEWS:
-        return reports.reviews_report(_read(spark, reviews, REVIEWS, multi_line), one_pass=True)
+        return reports.reviews_report(_read(spark, reviews, REVIEWS, multi_line, aside), one_pass=True)
     return {"vehiculos_agg": reports.vehicles_report(
-        _read(spark, ratings, RATINGS), _read(spark, reviews, REVIEWS, multi_line))}
+        _read(spark, ratings, RATINGS, aside=aside), _read(spark, reviews, REVIEWS, multi_line, aside))}
 
 
 def report_by_type(spark: SparkSession, kind: str, autos: str, ratings: str | None = None,
@@ -73,7 +76,7 @@ def catalogue(spark: SparkSession, globs: Sequence[str]) -> dict[str, DataFrame]
 
 
 def save(report: Mapping[str, DataFrame], *folders: str,
-         write: Callable[[DataFrame, str], None] = writers.write_table) -> None:
+         write: Callable[..., None] = writers.write_table) -> None:
     """Each part of a report in a directory of its name, replaced as a whole.
 
     With several folders a part is computed once and written to each. The result is Parquet, or CSV
@@ -88,14 +91,20 @@ def save(report: Mapping[str, DataFrame], *folders: str,
 
 
 def run(spark: SparkSession, report: Callable[[], Mapping[str, DataFrame]], *folders: str,
-        write: Callable[[DataFrame, str], None] = writers.write_table) -> None:
+        write: Callable[..., None] = writers.write_table) -> None:
     """Make a report and save it; the intermediate tables it needed are gone afterwards."""
     with intermediate_tables(spark):
         save(report(), *folders, write=write)
 
 
 def _read(spark: SparkSession, path: str | None, what: str,
-          multi_line: bool = False) -> DataFrame:
+          multi_line: bool = False, aside: str | None = None) -> DataFrame:
     if path is None:
         raise ValueError(f"this report needs the path of {what}")
-    return read_csv(spark, path, multi_line=multi_line)
+    if aside is None:
+        return read_csv(spark, path, multi_line=multi_line)
+    if multi_line:
+        raise ValueError("broken records are told apart line by line, so not with multi_line")
+    found = read_csv_apart(spark, path)
+    writers.write_table(found.bad, f"{aside}/{what}")
+    return found.good

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ratelens.functions.convert import ref
 from ratelens.sources.lines import joined_lines
+from ratelens.sources.unions import union_widened
 
 EMPTY_CATALOGUE = T.StructType([
     T.StructField("id_vehiculo", T.StringType()),
@@ -72,13 +73,11 @@ def read_csv_groups(spark: SparkSession, globs: Sequence[str],
 
 
 def union_by_name(tables: Sequence[DataFrame]) -> DataFrame | None:
-    """All rows of all tables, columns matched by name, absent ones null; duplicates stay."""
-    if not tables:
-        return None
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table, allowMissingColumns=True)
-    return result
+    """All rows of all tables, columns matched by name, absent ones null; duplicates stay.
+
+    Columns that differ in type get one that holds the values of all, see ``unions``.
+    """
+    return union_widened(tables)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

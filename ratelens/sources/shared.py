@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders that every machine has for itself, whatever its settings.
+OWN_FOLDERS = ("/tmp", "/var/tmp", "/dev/shm", "/run")
 _run: contextvars.ContextVar[str | None] = contextvars.ContextVar("run", default=None)
 
 
@@ -19,14 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one process, may do without the setting;
     it then gets a new temporary folder. A cluster session without it is an error, because a
     machine-local folder would not be seen by the other machines; so is one that names the
-    machine's temporary folder. A mounted folder that all machines share may be named as a path.
+    machine's temporary folder, or another that machines do not share. A mounted folder that all machines share may be named as a path.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     local = context.master.startswith("local")
     if named:
-        path = named.removeprefix("file:").rstrip("/")
-        if not local and f"/{path.lstrip('/')}/".startswith(f"{tempfile.gettempdir()}/"):
+        path = f"/{named.removeprefix('file:').strip('/')}/"
+        if not local and path.startswith(tuple(f"{own}/" for own in (tempfile.gettempdir(), *OWN_FOLDERS))):
             raise RuntimeError(f"spark.checkpoint.dir names {named}, which each machine has for itself")
         return named.rstrip("/")
     if not local:

@@ -1,4 +1,8 @@
-"""Results to files. Every sink writes in parallel; a directory of part files is the result."""
+"""Results to files. Every sink writes in parallel; a directory of part files is the result.
+
+A result replaces the one before as a whole, see ``publish``: a write that fails, or is killed, leaves
+the old result in place.
+"""
 
 from __future__ import annotations
 
@@ -9,15 +13,16 @@ from pyspark.sql import Column, DataFrame
 from ratelens.functions.convert import ref
 from ratelens.operators.ranking import report_order
 from ratelens.sources.lines import one_line
+from ratelens.sources.publish import publish
 from ratelens.sources.shared import stored
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, *paths: str, partition_by: Sequence[str] = ()) -> None:
     """Parquet, replaced as a whole. The default store between two steps."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    publish(df.sparkSession, lambda place: df.write.partitionBy(*partition_by).parquet(place), *paths)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, *paths: str) -> None:
     """CSV directory with a header in each part file, replaced as a whole.
 
     Blanks around text are kept, quotes are doubled and line breaks are escaped, so that each row is
@@ -26,12 +31,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     """
     lines = df.select(*[one_line(ref(c)).alias(c) if kind == "string" else ref(c)
                         for c, kind in df.dtypes])
-    (
-        lines.write.mode("overwrite")
-        .options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
-                 ignoreTrailingWhiteSpace=False)
-        .csv(path)
-    )
+    publish(df.sparkSession, lambda place: lines.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(place), *paths)
 
 
 def write_report(df: DataFrame, path: str, at_most: int) -> None:
@@ -53,14 +54,13 @@ def write_sorted(df: DataFrame, path: str, *order: Column, copies: bool = False)
 
 
 def write_each(df: DataFrame, paths: Sequence[str],
-               write: Callable[[DataFrame, str], None] = write_csv) -> None:
+               write: Callable[..., None] = write_csv) -> None:
     """The same result to several places, computed once, into a table in the shared folder.
 
-    The order of a sorted result is kept: one part file there is one part file in each place.
+    The order of a sorted result is kept: one part file there is one part file in each place. No
+    place gets it before it is written for all of them.
     """
-    once = stored(df, "each")
-    for path in paths:
-        write(once, path)
+    write(stored(df, "each"), *paths)
 
 
 def preview(df: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -153,3 +153,14 @@ def test_a_run_leaves_its_results_only(spark, files):
         spark, f"{files}/calificaciones.csv", f"{files}/nombres.csv"), f"{files}/r")
     assert set(Path(shared_folder(spark).removeprefix("file:")).iterdir()) == before
     assert read_table(spark, f"{files}/r/vehiculos_agg").count() == 2
+
+
+def test_broken_records_do_not_end_a_run(spark, files):
+    with open(f"{files}/calificaciones.csv", "a", encoding="utf-8") as more:
+        more.write('7\n8,4,2024-02-02,"x"\n9,"5\n')
+    made = jobs.report_by_view(spark, "calificaciones", f"{files}/calificaciones.csv", aside=f"{files}/rotos")
+    assert sum(r.n for r in made["distribucion_estrellas"].collect()) == 5
+    bad = read_table(spark, f"{files}/rotos/calificaciones").collect()
+    assert sorted(r.registro for r in bad) == ["7", '8,4,2024-02-02,"x"', '9,"5']
+    with pytest.raises(ValueError, match="multi_line"):
+        jobs.report_by_view(spark, "resenas", reviews=f"{files}/resenas.csv", multi_line=True, aside=f"{files}/rotos")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from ratelens import vocabulary as V
 from ratelens.functions import convert as C
 from ratelens.functions.match import same_text, search
-from ratelens.operators import metrics, ranking
+from ratelens.operators import metrics, paging, ranking
 from ratelens.operators.joins import stored
 from ratelens.operators.reshape import metrics_long
 from ratelens.sources import frames
@@ -39,10 +39,13 @@ def vehicles_page(raw_scores: DataFrame, query: str = "", order: str = V.BEST,
 
 def vehicle_list(raw_scores: DataFrame, query: str = "", order: str = "promedio_calificacion",
                  direction: str = "desc", top: int = ranking.DEFAULT_TOP,
-                 page_rows: int | None = None, start: int = 0) -> dict[str, DataFrame]:
+                 page_rows: int | None = None, start: int = 0,
+                 after: str | None = None) -> dict[str, DataFrame]:
     """Matching vehicles by any column: their number, the table, the chart of the first ``top``.
 
-    The table is whole, or with ``page_rows`` one page of it, after the first ``start`` rows.
+    The table is whole, or with ``page_rows`` one page of it, after the first ``start`` rows. With
+    ``after``, empty for the first page, it is the page after that place, see ``paging.seek_page``; a
+    deep page then costs no more than the first.
     """
     scores = frames.stored_scorecard(raw_scores)
     found = search(scores, C.ref("vehiculo_label"), query)
@@ -51,9 +54,14 @@ def vehicle_list(raw_scores: DataFrame, query: str = "", order: str = "promedio_
         return ranking.column_order(
             found, shown, order, "promedio_calificacion", direction == V.ASCENDING, n, start)
 
+    if after is None:
+        table = listed(found.columns, page_rows, start)
+    else:
+        table = paging.seek_page(found, found.columns, order, "promedio_calificacion",
+                                 direction == V.ASCENDING, page_rows or ranking.DEFAULT_TOP, after or None)
     return {
         "total": metrics.table_size(found),
-        "tabla": listed(found.columns, page_rows, start),
+        "tabla": table,
         "grafica": listed(["vehiculo_label", "promedio_calificacion"], top),
     }
 

@@ -1,0 +1,228 @@
+"""Pages by place, results kept up to date, sketches and unions of mixed types."""
+
+import datetime
+import decimal
+import os
+import random
+
+import pytest
+from conftest import plan_of, rows, unordered
+from pyspark.sql import functions as F, types as T
+
+from ratelens.operators import metrics, paging, ranking, sketches
+from ratelens.plans import dashboards, incremental, reports
+from ratelens.sources import unions
+from ratelens.sources.readers import read_csv
+
+
+# ---- pages -------------------------------------------------------------------------------
+
+def all_pages(df, shown, column, ascending, n):
+    pages, place = [], None
+    while True:
+        page = paging.seek_page(df, shown, column, shown[0], ascending, n, place).collect()
+        if not page:
+            return pages
+        pages.append([tuple(r)[:-1] for r in page])
+        place = paging.next_place([r[paging.PLACE] for r in page], place)
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+@pytest.mark.parametrize("column", ["d", "t", "k", "day", "nothing"])
+def test_pages_make_up_the_sorted_table(spark, column, ascending):
+    rng = random.Random(3)
+    many = [(rng.choice([1.5, 0.1, float("nan"), -2.0, None]), rng.choice(["a", "ñ\"", "b\n", None]),
+             rng.choice([1, 2, 2**60, None]), rng.choice([datetime.date(2024, 1, 1), None])) for _ in range(90)]
+    df = spark.createDataFrame(many + [many[0]] * 60, "d double, t string, k long, day date").repartition(2).cache()
+    shown = ["t", "k", "day", "d"]
+    whole = rows(ranking.column_order(df, shown, column, shown[0], ascending))
+    pages = all_pages(df, shown, column, ascending, 40)
+    assert repr([r for p in pages for r in p]) == repr(whole)
+    assert [len(p) for p in pages] == [40] * 3 + [30]
+
+
+def test_a_deep_page_keeps_one_page_of_rows(spark, tmp_path):
+    spark.range(5000).selectExpr("id as k", "id % 7 as v").write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    plan = plan_of(paging.seek_page(stored, ["k", "v"], "k", "k", True, 10, '["4000", "3", 1]'))
+    assert "limit=10" in plan.replace(" ", "").lower() or "Arguments: 10," in plan
+    assert "offset" not in plan.lower()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert any("k,4000" in line for line in pushed)
+
+
+def test_copies_are_counted_not_fetched(spark):
+    same = spark.range(3000).selectExpr("'x' as t", "1 as k")
+    place = '["x", "1", 2990]'
+    page = paging.seek_page(same, ["t", "k"], "t", "t", True, 20, place).collect()
+    assert len(page) == 10
+    assert paging.next_place([r[paging.PLACE] for r in page], place) == '["x", "1", 3000]'
+    assert paging.seek_page(same, ["t", "k"], "t", "t", True, 20, '["x", "1", 3000]').collect() == []
+    assert paging.next_place([]) is None
+
+
+def test_list_pages_by_place(spark):
+    scores = spark.createDataFrame([(f"v{i:02}", float(i % 4), i) for i in range(30)],
+                                   "vehiculo_label string, promedio_calificacion double, n_resenas long")
+    whole = rows(dashboards.vehicle_list(scores)["tabla"])
+    found, place = [], None
+    for _ in range(4):
+        page = dashboards.vehicle_list(scores, page_rows=8, after=place or "")["tabla"].collect()
+        found += [tuple(r)[:-1] for r in page]
+        place = paging.next_place([r[paging.PLACE] for r in page], place)
+    assert found == whole
+
+
+# ---- kept up to date ---------------------------------------------------------------------
+
+RATINGS = [("7", "5", "2024-01-02"), ("7", "4", "2024-01-03"), ("8", "bad", "x"), (None, None, None)]
+MORE = [("9", "5", "2024-01-03"), ("9", "1", "2024-02-01")]
+
+
+def put_csv(folder, name, facts):
+    (folder / "src").mkdir(exist_ok=True)
+    lines = [",".join(v or "" for v in r) for r in facts]
+    (folder / "src" / name).write_text("carroId,estrellas,creado_en\n" + "\n".join(lines) + "\n")
+
+
+def same_as_all(spark, folder):
+    kept = incremental.ratings_report(spark, f"{folder}/store")
+    full = reports.ratings_report(read_csv(spark, f"{folder}/src"))
+    for name in full:
+        assert rows(kept[name]) == rows(full[name]), name
+
+
+def run(spark, folder):
+    read = incremental.update(spark, incremental.RATINGS, f"{folder}/src", f"{folder}/store", incremental.read_csv_files)
+    return [os.path.basename(p) for p in read]
+
+
+def test_only_new_and_changed_files_are_read(spark, tmp_path, monkeypatch):
+    put_csv(tmp_path, "a 1.csv", RATINGS)
+    assert run(spark, tmp_path) == ["a 1.csv"]
+    same_as_all(spark, tmp_path)
+    put_csv(tmp_path, "b.csv", MORE)
+    seen = []
+    monkeypatch.setattr(incremental, "read_csv", lambda s, p: seen.append(read_csv(s, p).inputFiles()) or read_csv(s, p))
+    assert run(spark, tmp_path) == ["b.csv"]
+    assert [[os.path.basename(f) for f in files] for files in seen] == [["b.csv"]]
+    same_as_all(spark, tmp_path)
+    assert run(spark, tmp_path) == []
+    put_csv(tmp_path, "b.csv", MORE + RATINGS)                      # changed
+    assert run(spark, tmp_path) == ["b.csv"]
+    same_as_all(spark, tmp_path)
+    incremental.compact(spark, f"{tmp_path}/store")
+    assert len(list((tmp_path / "store" / "sums").glob("lote=*"))) == 1
+    same_as_all(spark, tmp_path)
+    (tmp_path / "src" / "a 1.csv").unlink()                         # gone
+    assert run(spark, tmp_path) == []
+    same_as_all(spark, tmp_path)
+    put_csv(tmp_path, "c.csv", [])
+    run(spark, tmp_path)
+    same_as_all(spark, tmp_path)
+
+
+def test_a_run_that_ends_before_its_ledger_counts_once(spark, tmp_path, monkeypatch):
+    put_csv(tmp_path, "a.csv", RATINGS)
+    run(spark, tmp_path)
+    put_csv(tmp_path, "b.csv", MORE)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "write_table", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, tmp_path)
+    put_csv(tmp_path, "c.csv", MORE)
+    assert run(spark, tmp_path) == ["b.csv", "c.csv"]
+    same_as_all(spark, tmp_path)
+
+
+def test_reviews_kept(spark, tmp_path):
+    facts = spark.createDataFrame([("ana", "muy bueno", "2024-01-02"), (None, None, "x"), ("luz", "no", "2024-01-02")],
+                                  "username string, comentario string, fecha string")
+    empty = incremental.reviews_report(spark, f"{tmp_path}/store")
+    assert rows(empty["resenas_diarias"]) == [] and rows(empty["usuarios_agg"]) == []
+    for i in range(2):
+        facts.write.parquet(f"{tmp_path}/src/{i}")
+        incremental.update(spark, incremental.REVIEWS, f"{tmp_path}/src", f"{tmp_path}/store")
+    kept = incremental.reviews_report(spark, f"{tmp_path}/store")
+    full = reports.reviews_report(spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/src"))
+    assert rows(kept["resenas_diarias"]) == rows(full["resenas_diarias"])
+    assert rows(kept["usuarios_agg"]) == rows(full["usuarios_agg"])
+
+
+# ---- sketches ----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("precision", [10, 14])
+def test_error_of_a_union_of_days(spark, precision):
+    """Users that come back on other days count once; the error is that of one sketch."""
+    facts = spark.range(200_000).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 60 as int)) as day", "case when id % 50 > 0 then id % 40000 end as u")
+    days = sketches.daily_sketches(facts, "day", "u", precision)
+    month = F.date_format("fecha_d", "yyyy-MM").alias("ym")
+    exact = {r.ym: r.n for r in facts.groupBy(F.date_format("day", "yyyy-MM").alias("ym")).agg(F.countDistinct("u").alias("n")).collect()}
+    found = sketches.distinct_of_sketches(days, month).collect()
+    assert {r.ym for r in found} == set(exact) and sum(r.n_filas for r in found) == 200_000
+    for r in found:
+        assert abs(r.n_claves - exact[r.ym]) <= 4 * sketches.standard_error(precision) * exact[r.ym]
+
+
+def test_small_numbers_and_nulls(spark):
+    facts = spark.createDataFrame([("a", None), ("b", None), ("b", None), (None, None)], "u string, day date")
+    assert rows(sketches.distinct_of_sketches(sketches.daily_sketches(facts, "day", "u"))) == [(4, 2)]
+    assert rows(sketches.key_counts_about(facts, "u", "t")) == rows(metrics.key_counts(facts, "u", "t")) == [("t", 4, 3)]
+    assert rows(sketches.key_counts_about(facts.limit(0), "u", "t")) == [("t", 0, 0)]
+    assert rows(sketches.review_summary_of_sketches(sketches.daily_sketches(facts.limit(0), "day", "u"))) == [(0, 0, 0.0)]
+    assert rows(sketches.key_counts_about(facts, "day", "t")) == [("t", 4, 1)]
+
+
+def test_sketches_are_combined_before_the_shuffle(spark):
+    plan = plan_of(sketches.daily_sketches(spark.range(9).selectExpr("current_date() as day", "id as u"), "day", "u"), "simple")
+    assert "partial_hll_sketch_agg" in plan
+
+
+# ---- mixed types -------------------------------------------------------------------------
+
+@pytest.mark.parametrize("a, b, common", [
+    ("int", "bigint", "bigint"), ("smallint", "tinyint", "smallint"), ("int", "double", "double"), ("float", "double", "double"),
+    ("float", "int", "double"), ("decimal(10,2)", "int", "decimal(12,2)"), ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"),
+    ("decimal(38,2)", "decimal(38,10)", "string"), ("decimal(5,2)", "double", "string"), ("date", "timestamp", "timestamp"),
+    ("date", "timestamp_ntz", "timestamp_ntz"), ("date", "string", "string"), ("bigint", "string", "string"),
+    ("boolean", "int", "string"), ("void", "date", "date"), ("timestamp", "timestamp_ntz", "string"),
+])
+def test_common_types(a, b, common):
+    kinds = [T._parse_datatype_string(f"x {k}").fields[0].dataType for k in (a, b)]
+    for pair in (kinds, kinds[::-1]):
+        assert unions.common_type(*pair).simpleString() == common
+
+
+def test_no_common_type(spark):
+    with pytest.raises(TypeError, match="array<int>"):
+        unions.common_type(T.ArrayType(T.IntegerType()), T.LongType())
+
+
+def test_nothing_is_lost(spark):
+    large = 2**53 + 1
+    for whole, kind in (([1, large], "string"), ([1, 2**53], "double"), ([-large], "string"), ([None], "double")):
+        both = unions.union_widened([spark.createDataFrame([(w,) for w in whole], "v long"),
+                                     spark.createDataFrame([(0.5,)], "v double")])
+        assert dict(both.dtypes) == {"v": kind}
+        values = [r[0] for r in both.collect()]
+        assert values[:-1] == [None if w is None else str(w) if kind == "string" else float(w) for w in whole]
+        assert float(values[-1]) == 0.5
+    day, moment = datetime.date(2024, 2, 29), datetime.datetime(2024, 2, 29, 1, 2, 3, 456)
+    made = unions.union_widened([spark.createDataFrame([(day,)], "d date"), spark.createDataFrame([(moment,)], "d timestamp_ntz"),
+                                 spark.createDataFrame([("x",)], "e string")])
+    assert rows(made) == [(datetime.datetime(2024, 2, 29), None), (moment, None), (None, "x")]
+    cents = unions.union_widened([spark.createDataFrame([(decimal.Decimal("1.25"),)], "p decimal(5,2)"), spark.createDataFrame([(2**40,)], "p long")])
+    assert unordered(cents) == sorted([(decimal.Decimal("1.25"),), (decimal.Decimal(2**40),)], key=repr)
+
+
+def test_equal_types_stay_bare(spark, tmp_path):
+    spark.range(9).toDF("id").write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    plan = plan_of(unions.union_widened([table, table]).where("id = 3"))
+    assert "EqualTo(id,3)" in plan
+    assert unions.union_widened([]) is None

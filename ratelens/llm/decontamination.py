@@ -3,17 +3,18 @@
 Terms are words, hashed to ``TERMS`` places and weighted by their inverse document frequency over
 all documents. The benchmark's items are taken in blocks; for each block a randomised SVD of its
 TF-IDF rows, block by block on the executors, gives the latent space, and the rank is large enough
-to tell all items of a block apart. Every document is cut into overlapping passages of about an
-item's length. A passage is projected into the space and compared with the items of its length; the
-cosine divides by the length of the whole TF-IDF row, so words that no item has count against it.
-
-No passage has a larger cosine than with the largest weight that any item has for each of its terms;
-that bound is computed first for all passages, and only those that meet it are projected. A cosine
-misses copies of a passage that many documents hold, as its words weigh little beside their
-neighbours. So passages are candidates as well when the words around them are, without weights, as
-many of an item's as any leak needs; to have that many of all, they need a few of the item's rarest
-ones, which is looked for first. Candidates are checked around the passage found: the longest common subsequence with the item's words must hold most of
-the item, or a smaller part of it together with the item's answer, which are its last words.
+to tell all items of a block apart. A document's passages start at each of its words; they have the
+length that the words of an item need which make a leak by themselves. A passage is projected into
+the space and compared with the items of its length; the cosine divides by the length of the whole
+TF-IDF row, so words that no item has count against it. As some passage has next to no other words
+around an item, or around the part of it that was copied, this also finds an item that many documents
+hold, whose words weigh little beside their neighbours.
+
+No passage has a larger cosine than with the largest weight that any item of its length has for each
+of its terms; that bound is computed for all passages by running sums, and only those that meet it are
+projected. Candidates are checked around the passage found: the longest common subsequence with the
+item's words must hold most of the item, or a smaller part of it together with the item's answer,
+which are its last words. Of passages that overlap by most of their words the nearest one is checked.
 """
 
 from __future__ import annotations
@@ -33,10 +34,8 @@ from ratelens.llm.words import Words, trimmed, words_of
 TERMS = 1 << 18
 BLOCK_ITEMS = 256               # items of one latent space, and its rank
 PASS_BLOCKS = 16                # spaces that are sent out at once; more take another pass
-SHORTEST = 16                   # words of the shortest passage; the others are 2, 4, ... times it
 COSINE = 0.45
 SURE, LIKELY, ANSWER = 0.65, 0.45, 0.75     # shares of the item and of its answer in common
-RAREST = 3                      # words of an item's rarer part that a passage with a leak has
 ANSWER_PART = 5                 # the answer is the last 1/5 of an item, three words at least
 
 
@@ -81,7 +80,7 @@ def term_weights(docs: DataFrame) -> np.ndarray:
 class Item:
     item_id: int | None
     words: list[int]            # hashes, in order
-    length: int                 # of the passages it is compared with
+    length: int                 # of the passages it is compared with, in words
 
 
 @dataclass
@@ -93,8 +92,6 @@ class Space:
     axes: np.ndarray            # term x rank
     at: np.ndarray              # item x rank, of length 1 before the projection
     most: dict[int, np.ndarray]  # by passage length: the largest weight of an item for each term
-    times: np.ndarray           # term x item: how often the item has it
-    rare: dict[int, np.ndarray]  # by passage length: for each term, the part of the needed rarer words
 
 
 def randomised_svd(rows: np.ndarray, rank: int, seed: int) -> np.ndarray:
@@ -109,29 +106,6 @@ def randomised_svd(rows: np.ndarray, rank: int, seed: int) -> np.ndarray:
     return np.linalg.svd(basis.T @ rows, full_matrices=False)[2][:rank].T
 
 
-def _needed(n: int) -> int:
-    """Words in common that a leak of an item of n words has at least."""
-    return max(1, int(np.ceil(min(SURE, LIKELY) * n - 1e-9)))
-
-
-def _rare(times: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """For each term the largest part that one occurrence makes up of the rarer words an item needs.
-
-    ``times`` is term x item. Of n words ``m`` are needed, so k of the n - m + k rarest are, for each k
-    up to m: only the m - k most common ones can be had besides. Words around a leak sum to 1 or more.
-    """
-    out = np.zeros(len(weight))
-    order = np.argsort(-weight, kind="stable")
-    for own in times.T:
-        n = int(own.sum())
-        m = _needed(n)
-        k = min(RAREST, m)
-        before = np.cumsum(own[order]) - own[order]
-        rarer = order[(own[order] > 0) & (before < n - m + k)]
-        out[rarer] = np.maximum(out[rarer], 1 / k)
-    return out
-
-
 def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> Space | None:
     items, rows, cells = [], [], []
     for words in _lower_words(texts_):
@@ -139,9 +113,7 @@ def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> S
         for i, row in enumerate(range(words.rows.start, words.rows.stop)):
             a, b = words.first[i], words.first[i + 1]
             if b > a:
-                length = SHORTEST
-                while length < b - a:
-                    length *= 2
+                length = max(1, int(np.ceil(SURE * (b - a) - 1e-9)))
                 rows.append(np.full(b - a, len(items)))
                 cells.append(term[a:b])
                 items.append(Item(item_ids[row], hashes[a:b].tolist(), length))
@@ -154,10 +126,7 @@ def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> S
     at = table @ axes / np.linalg.norm(table, axis=1, keepdims=True)
     lengths = np.array([i.length for i in items])
     most = {int(n): (at[lengths == n] @ axes.T).max(axis=0).clip(0) for n in np.unique(lengths)}
-    times = np.zeros((len(terms), len(items)), np.int32)
-    np.add.at(times, (column, np.concatenate(rows)), 1)
-    rare = {int(n): _rare(times[:, lengths == n], weight[terms]) for n in np.unique(lengths)}
-    return Space(items, terms, axes.astype(np.float32), at.astype(np.float32), most, times, rare)
+    return Space(items, terms, axes.astype(np.float32), at.astype(np.float32), most)
 
 
 def latent_spaces(benchmark: DataFrame, weight: np.ndarray, id_col: str, text_col: str) -> Iterator[list[Space]]:
@@ -213,31 +182,42 @@ def judged(item: Item, around: list[int]) -> tuple[float, float, bool]:
 
 # ---- search ---------------------------------------------------------------------------------
 
-def _passages(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, begin and end of passages of so many words, a quarter apart; shorter rows are one."""
-    size, step = np.diff(first), length // 4
-    many = np.where(size > length, -(-(size - length) // step) + 1, (size > 0).astype(np.int64))
-    row = np.repeat(np.arange(len(size)), many)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-    begin = first[row] + np.minimum(nth * step, np.maximum(size[row] - length, 0))
-    return row, begin, np.minimum(begin + length, first[row + 1])
-
-
-def _shared(left: np.ndarray, right: np.ndarray, place: np.ndarray, known: np.ndarray,
-            times: np.ndarray) -> np.ndarray:
-    """Words, with their number, that each stretch of words has in common with each item."""
-    size = right - left
-    of = np.repeat(np.arange(len(left)), size)
-    token = np.repeat(left - (np.cumsum(size) - size), size) + np.arange(len(of))
-    token, of = token[known[token]], of[known[token]]
-    out = np.zeros((len(left), times.shape[1]), np.int64)
-    cell, often = np.unique(of * len(times) + place[token], return_counts=True)
-    of = cell // len(times)
-    starts = np.flatnonzero(np.diff(of, prepend=-1))
-    if len(starts):
-        both = np.minimum(often[:, None], times[cell % len(times)])
-        out[of[starts]] = np.add.reduceat(both, starts, axis=0)
-    return out
+def _near(words: Words, term: np.ndarray, own: np.ndarray, weight: np.ndarray, space: Space) \
+        -> Iterator[tuple[int, int, float, int]]:
+    """(row, item, cosine, begin) of all passages with a cosine of ``COSINE`` or more."""
+    place = np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)
+    known = space.terms[place] == term
+    heavy = np.concatenate([[0.0], np.cumsum(own * own)])
+    sizes = np.diff(words.first)
+    row_of = np.repeat(np.arange(len(sizes)), sizes)
+    to_end = words.first[1:][row_of] - np.arange(len(term))          # words from each one to its row's end
+    is_first = np.arange(len(term)) == words.first[:-1][row_of]
+    lengths = np.array([i.length for i in space.items])
+    for length, most in space.most.items():
+        reach = np.concatenate([[0.0], np.cumsum(np.where(known, own * most[place], 0.0))])
+        begin = np.flatnonzero((to_end >= length) | is_first)        # a shorter row is one passage
+        end = begin + np.minimum(to_end[begin], length)
+        good = reach[end] - reach[begin] >= COSINE * np.sqrt(heavy[end] - heavy[begin]) - 1e-9
+        good &= reach[end] > reach[begin]
+        items = np.flatnonzero(lengths == length)
+        begin, end = begin[good], end[good]
+        for low in range(0, len(begin), 512):
+            b, e = begin[low:low + 512], end[low:low + 512]
+            size = e - b
+            of = np.repeat(np.arange(len(b)), size)
+            token = np.repeat(b - (np.cumsum(size) - size), size) + np.arange(len(of))
+            # A term that a passage has n times weighs n times.
+            cell, times = np.unique(of * TERMS + term[token], return_counts=True)
+            whole = np.bincount(cell // TERMS, weights=(times * weight[cell % TERMS]) ** 2)
+            token, of = token[known[token]], of[known[token]]
+            # A passage has few known terms, so their axes are summed rather than its row multiplied.
+            latent = np.zeros((len(b), space.axes.shape[1]), np.float32)
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            latent[of[starts]] = np.add.reduceat(
+                space.axes[place[token]] * own[token, None].astype(np.float32), starts, axis=0)
+            cosine = latent @ space.at[items].T / np.sqrt(whole)[:, None]
+            for i, j in zip(*np.nonzero(cosine >= COSINE)):
+                yield int(row_of[b[i]]), int(items[j]), float(cosine[i, j]), int(b[i])
 
 
 def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[dict]]:
@@ -247,52 +227,23 @@ def _found(words: Words, weight: np.ndarray, spaces: list[Space]) -> list[list[d
         return out
     hashes, term = _terms(words)
     own = weight[term].astype(np.float64)
-    heavy = np.concatenate([[0.0], np.cumsum(own * own)])
     for space in spaces:
-        place = np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)
-        known = space.terms[place] == term
-        lengths = np.array([i.length for i in space.items])
-        for length, most in space.most.items():
-            row, begin, end = _passages(words.first, length)
-            items = np.flatnonzero(lengths == length)
-            reach = np.concatenate([[0.0], np.cumsum(np.where(known, own * most[place], 0.0))])
-            good = reach[end] - reach[begin] >= COSINE * np.sqrt(heavy[end] - heavy[begin])
-            # Words around each passage, those that a candidate is checked in.
-            left = np.maximum(words.first[row], begin - length // 2)
-            right = np.minimum(words.first[row + 1], end + length // 2)
-            rarer = np.concatenate([[0.0], np.cumsum(np.where(known, space.rare[length][place], 0.0))])
-            good |= rarer[right] - rarer[left] >= 1 - 1e-6
-            row, begin, end, left, right = (x[good] for x in (row, begin, end, left, right))
-            held = space.times[:, items]
-            needed = np.array([_needed(len(space.items[j].words)) for j in items])
-            best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
-            for low in range(0, len(row), 512):
-                b, e = begin[low:low + 512], end[low:low + 512]
-                size = e - b
-                of = np.repeat(np.arange(len(b)), size)
-                token = np.repeat(b - (np.cumsum(size) - size), size) + np.arange(len(of))
-                # A term that a passage has n times weighs n times.
-                cell, times = np.unique(of * TERMS + term[token], return_counts=True)
-                whole = np.bincount(cell // TERMS, weights=(times * weight[cell % TERMS]) ** 2)
-                token, of = token[known[token]], of[known[token]]
-                # A passage has few known terms, so their axes are summed rather than its row multiplied.
-                latent = np.zeros((len(b), space.axes.shape[1]), np.float32)
-                starts = np.flatnonzero(np.diff(of, prepend=-1))
-                latent[of[starts]] = np.add.reduceat(
-                    space.axes[place[token]] * own[token, None].astype(np.float32), starts, axis=0)
-                cosine = latent @ space.at[items].T / np.sqrt(whole)[:, None]
-                shared = _shared(left[low:low + 512], right[low:low + 512], place, known, held)
-                for i, j in zip(*np.nonzero((cosine >= COSINE) | (shared >= needed))):
-                    best.setdefault((int(row[low + i]), int(items[j])), []).append(
-                        (float(cosine[i, j]), int(b[i]), int(e[i]), int(left[low + i]), int(right[low + i])))
-            for (r, j), places in best.items():
-                item = space.items[j]
-                for cosine, _, _, a, z in sorted(places, reverse=True):
-                    share, answer, leak = judged(item, hashes[a:z].tolist())
-                    if leak:
-                        out[r].append({"item_id": item.item_id, "cosine": round(cosine, 6),
-                                       "common": round(share, 6), "answer": round(answer, 6)})
-                        break
+        best: dict[tuple[int, int], list[tuple[float, int]]] = {}
+        for row, item, cosine, begin in _near(words, term, own, weight, space):
+            best.setdefault((row, item), []).append((cosine, begin))
+        for (row, j), places in sorted(best.items()):
+            item, tried = space.items[j], []
+            n = len(item.words)
+            for cosine, begin in sorted(places, key=lambda p: (-p[0], p[1])):
+                if any(abs(begin - t) <= item.length // 4 for t in tried):
+                    continue
+                tried.append(begin)
+                a, z = max(words.first[row], begin - n), min(words.first[row + 1], begin + item.length + n)
+                share, answer, leak = judged(item, hashes[a:z].tolist())
+                if leak:
+                    out[row].append({"item_id": item.item_id, "cosine": round(cosine, 6),
+                                     "common": round(share, 6), "answer": round(answer, 6)})
+                    break
     return out
 
 

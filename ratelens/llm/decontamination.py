@@ -11,8 +11,8 @@ around an item, or around the part of it that was copied, this also finds an ite
 hold, whose words weigh little beside their neighbours.
 
 No passage has a larger cosine than with the largest weight that any item of its length has for each
-of its terms; that bound is computed for all passages by running sums, and only those that meet it are
-projected. Candidates are checked around the passage found: the longest common subsequence with the
+of its terms; that bound is computed for all passages by running sums. Of those that meet it and start
+within a quarter of their length the one with the highest bound is projected. Candidates are checked around the passage found: the longest common subsequence with the
 item's words must hold most of the item, or a smaller part of it together with the item's answer,
 which are its last words. Of passages that overlap by most of their words the nearest one is checked.
 """
@@ -182,25 +182,50 @@ def judged(item: Item, around: list[int]) -> tuple[float, float, bool]:
 
 # ---- search ---------------------------------------------------------------------------------
 
+def _promising(reach: np.ndarray, heavy: np.ndarray, first: np.ndarray, ends: np.ndarray, length: int) \
+        -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and squared bound of the cosine of passages that meet it; a shorter row is one passage."""
+    n = max(len(ends) - length + 1, 0)
+    most, norm = reach[length:] - reach[:n], heavy[length:] - heavy[:n]
+    begin = np.flatnonzero((most * most >= (COSINE * COSINE - 1e-9) * norm) & (most > 0))
+    begin = begin[begin + length <= ends[begin]]
+    short = np.flatnonzero((np.diff(first) < length) & (np.diff(first) > 0))
+    starts, stops = first[short], first[short + 1]
+    most_short, norm_short = reach[stops] - reach[starts], heavy[stops] - heavy[starts]
+    good = (most_short * most_short >= (COSINE * COSINE - 1e-9) * norm_short) & (most_short > 0)
+    ratio = np.concatenate([most[begin] ** 2 / norm[begin], most_short[good] ** 2 / norm_short[good]])
+    return np.append(begin, starts[good]), np.append(begin + length, stops[good]), ratio
+
+
+def _highest(row: np.ndarray, start: np.ndarray, begin: np.ndarray, end: np.ndarray, ratio: np.ndarray,
+             step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the passages that start within ``step`` words, counted from their row's start, the highest one."""
+    cell = (begin - start) // step
+    order = np.lexsort((begin, -ratio, cell, row))
+    cell, row = cell[order], row[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (np.diff(cell) != 0) | (np.diff(row) != 0)
+    return begin[order][first], end[order][first]
+
+
 def _near(words: Words, term: np.ndarray, own: np.ndarray, weight: np.ndarray, space: Space) \
         -> Iterator[tuple[int, int, float, int]]:
     """(row, item, cosine, begin) of all passages with a cosine of ``COSINE`` or more."""
     place = np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)
     known = space.terms[place] == term
+    listed = np.where(known, place, len(space.terms))
     heavy = np.concatenate([[0.0], np.cumsum(own * own)])
     sizes = np.diff(words.first)
     row_of = np.repeat(np.arange(len(sizes)), sizes)
-    to_end = words.first[1:][row_of] - np.arange(len(term))          # words from each one to its row's end
-    is_first = np.arange(len(term)) == words.first[:-1][row_of]
+    ends = words.first[1:][row_of]                                   # where the row of each word ends
     lengths = np.array([i.length for i in space.items])
     for length, most in space.most.items():
-        reach = np.concatenate([[0.0], np.cumsum(np.where(known, own * most[place], 0.0))])
-        begin = np.flatnonzero((to_end >= length) | is_first)        # a shorter row is one passage
-        end = begin + np.minimum(to_end[begin], length)
-        good = reach[end] - reach[begin] >= COSINE * np.sqrt(heavy[end] - heavy[begin]) - 1e-9
-        good &= reach[end] > reach[begin]
+        each = np.append(most * weight[space.terms], 0.0)            # the most that a word adds
+        reach = np.concatenate([[0.0], np.cumsum(each[listed])])
+        begin, end, ratio = _promising(reach, heavy, words.first, ends, length)
+        row = row_of[begin]
+        begin, end = _highest(row, words.first[row], begin, end, ratio, max(1, length // 4))
         items = np.flatnonzero(lengths == length)
-        begin, end = begin[good], end[good]
         for low in range(0, len(begin), 512):
             b, e = begin[low:low + 512], end[low:low + 512]
             size = e - b

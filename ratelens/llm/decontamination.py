@@ -4,7 +4,7 @@ Terms are words, hashed to ``TERMS`` places and weighted by their inverse docume
 all documents. The benchmark's items are taken in blocks; for each block a randomised SVD of its
 TF-IDF rows, block by block on the executors, gives the latent space, and the rank is large enough
 to tell all items of a block apart. A document's passages start at each of its words; they have the
-length that the words of an item need which make a leak by themselves. A passage is projected into
+length that the words of an item need which make a leak by themselves, or some words less. A passage is projected into
 the space and compared with the items of its length; the cosine divides by the length of the whole
 TF-IDF row, so words that no item has count against it. As some passage has next to no other words
 around an item, or around the part of it that was copied, this also finds an item that many documents
@@ -34,6 +34,7 @@ from ratelens.llm.words import Words, trimmed, words_of
 TERMS = 1 << 18
 BLOCK_ITEMS = 256               # items of one latent space, and its rank
 PASS_BLOCKS = 16                # spaces that are sent out at once; more take another pass
+GRID = 4                        # lengths of passages are whole times it, so that there are few
 COSINE = 0.45
 SURE, LIKELY, ANSWER = 0.65, 0.45, 0.75     # shares of the item and of its answer in common
 ANSWER_PART = 5                 # the answer is the last 1/5 of an item, three words at least
@@ -114,6 +115,7 @@ def _space(item_ids: list, texts_: pa.Array, weight: np.ndarray, seed: int) -> S
             a, b = words.first[i], words.first[i + 1]
             if b > a:
                 length = max(1, int(np.ceil(SURE * (b - a) - 1e-9)))
+                length -= length % GRID if length > GRID else 0
                 rows.append(np.full(b - a, len(items)))
                 cells.append(term[a:b])
                 items.append(Item(item_ids[row], hashes[a:b].tolist(), length))
@@ -211,9 +213,10 @@ def _highest(row: np.ndarray, start: np.ndarray, begin: np.ndarray, end: np.ndar
 def _near(words: Words, term: np.ndarray, own: np.ndarray, weight: np.ndarray, space: Space) \
         -> Iterator[tuple[int, int, float, int]]:
     """(row, item, cosine, begin) of all passages with a cosine of ``COSINE`` or more."""
-    place = np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)
-    known = space.terms[place] == term
-    listed = np.where(known, place, len(space.terms))
+    number = np.full(TERMS, len(space.terms), np.int32)
+    number[space.terms] = np.arange(len(space.terms))
+    listed = number[term]                                            # one more than the last: no item's
+    known, place = listed < len(space.terms), np.minimum(listed, len(space.terms) - 1)
     heavy = np.concatenate([[0.0], np.cumsum(own * own)])
     sizes = np.diff(words.first)
     row_of = np.repeat(np.arange(len(sizes)), sizes)

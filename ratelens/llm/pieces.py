@@ -157,9 +157,11 @@ def decode_ids(ids: Iterable[int], vocab: Vocabulary) -> str:
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
-           keep: tuple[str, ...] = ()) -> DataFrame:
+           keep: tuple[str, ...] = (), batch_chars: int | None = None) -> DataFrame:
     """``doc_id``, ``text``, the columns ``keep`` and ``ids`` (piece ids) of each row.
 
+    ``batch_chars`` (``BATCH_CHARS``) bounds the texts whose words are sorted together: fewer take less
+    memory and share fewer prefixes.
     A null text has null ids, an empty one none. Whole texts are encoded, however long. Repeated rows
     give repeated results.
     """
@@ -175,7 +177,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             row = 0
             while row < batch.num_rows:
                 done = sizes[row - 1] if row else 0
-                after = max(row + 1, int(np.searchsorted(sizes, done + BATCH_CHARS, "right")))
+                after = max(row + 1, int(np.searchsorted(sizes, done + (batch_chars or BATCH_CHARS), "right")))
                 part = batch.slice(row, after - row)
                 ids = encode_texts(part.column("text").to_pylist(), vocab.value)
                 yield pa.RecordBatch.from_arrays(

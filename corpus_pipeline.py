@@ -47,7 +47,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``lang``, ``source`` and the piece ids of the text."""
     prepared(spark)
-    ids = encode(docs, MODEL, keep=("lang", "source"))
+    ids = encode(docs, MODEL, keep=("lang", "source"), batch_chars=1 << 19)
     return ids.select("doc_id", "lang", "source", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"))
 
 

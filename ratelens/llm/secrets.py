@@ -9,11 +9,14 @@ A string is a finding when its p-value reaches a cut. The cut belongs to its enc
 length, as short strings leave the tests little power. P-values of random strings are even between
 0 and 1, so twice the number above one half estimates how many random strings there are; the cut is
 the lowest at which at most ``rate`` of the strings that reach it are estimated not to be random.
-The counts cover all texts and are a table of fixed size.
+The counts cover all texts and are a table of fixed size. They count distinct strings, so that copies
+of one string do not decide for the others. Where an encoding and length has few strings, those of
+the encoding, and of all encodings, fill up its counts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -46,6 +49,8 @@ _CODE = {name: np.full(128, -1) for name in ENCODINGS}
 for _name, _letters in ENCODINGS.items():
     _CODE[_name][[ord(c) for c in _letters]] = np.arange(len(_letters))
 CUTS = 100                      # steps of the p-value
+PRIOR = 200                     # strings by which a wider group counts in a narrower one: so many that one
+                                # more string moves no cut
 
 
 def chi2_tail(x: float, freedom: int) -> float:
@@ -100,7 +105,7 @@ def randomness(text: str) -> tuple[str, float] | None:
 
 
 def _scan(text: str) -> tuple[list, list]:
-    """Spans by pattern as (start, kind, end); candidates as (start, end, group, step, covered)."""
+    """Spans by pattern as (start, kind, end); candidates as (start, end, group, step, covered, name)."""
     runs = list(RUN.finditer(text))
     spans = [(h.start(), 2, h.end()) for m in runs for h in HEX.finditer(text, m.start(), m.end())]
     if ":" in text or "=" in text:
@@ -114,12 +119,13 @@ def _scan(text: str) -> tuple[list, list]:
             start, end = m.span()
             covered = any(s < end and start < e for s, _, e in spans)
             group = f"{tested[0]}/{min(len(m[0]) // 8, 16)}"
-            found.append((start, end, group, min(int(tested[1] * CUTS), CUTS - 1), covered))
+            name = int.from_bytes(hashlib.blake2b(m[0].encode(), digest_size=8).digest(), "little", signed=True)
+            found.append((start, end, group, min(int(tested[1] * CUTS), CUTS - 1), covered, name))
     return sorted(spans), found
 
 
 _SPAN = "start int, kind int, end int"
-_FOUND = "start int, end int, group string, step int, covered boolean"
+_FOUND = "start int, end int, group string, step int, covered boolean, name long"
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -130,7 +136,7 @@ def scanned(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"),
                 "spans": [[dict(zip(("start", "kind", "end"), s)) for s in r[0]] for r in results],
-                "found": [[dict(zip(("start", "end", "group", "step", "covered"), s)) for s in r[1]]
+                "found": [[dict(zip(("start", "end", "group", "step", "covered", "name"), s)) for s in r[1]]
                           for r in results]})
     return docs.mapInPandas(
         work, f"doc_id long, spans array<struct<{_sql(_SPAN)}>>, found array<struct<{_sql(_FOUND)}>>")
@@ -143,20 +149,32 @@ def _sql(fields: str) -> str:
 def cuts(found: DataFrame, rate: float) -> dict[str, int]:
     """For each encoding and length the lowest step at which findings are random enough.
 
-    The counts have at most 8 encodings x 17 lengths x 100 steps.
+    Each distinct string counts once, by its 64-bit name; copies meet before the shuffle. The counts
+    have at most 8 encodings x 17 lengths x 100 steps. An encoding and length starts with ``PRIOR``
+    strings spread as those of its encoding are, the encoding with as many spread as all strings
+    are, and these with as many of which half fail the tests outright and half are random.
     """
-    each = found.select(F.explode("found").alias("f")).groupBy("f.group", "f.step").count()
+    each = found.select(F.explode("found").alias("f")).select("f.group", "f.step", "f.name").distinct() \
+        .groupBy("group", "step").count()
     steps: dict[str, np.ndarray] = {}
     for group, step, count in each.collect():
         steps.setdefault(group, np.zeros(CUTS))[step] = count
+    every = np.full(CUTS, PRIOR / 2 / CUTS)
+    every[0] += PRIOR / 2
+    every = sum(steps.values(), start=every)
+    of_encoding: dict[str, np.ndarray] = {}
+    for group in sorted(steps):
+        name = group.split("/")[0]
+        of_encoding[name] = of_encoding.get(name, every * PRIOR / every.sum()) + steps[group]
     out = {}
     for group, counts in steps.items():
+        wider = of_encoding[group.split("/")[0]]
+        counts = counts + wider * PRIOR / wider.sum()
         random = 2 * counts[CUTS // 2:].sum()
         reach = counts[::-1].cumsum()[::-1]
         share = 1 - np.arange(CUTS) / CUTS
-        with np.errstate(divide="ignore", invalid="ignore"):
-            wrong = 1 - np.minimum(random * share, reach) / reach
-        fit = np.flatnonzero((reach > 0) & (wrong <= rate))
+        wrong = 1 - np.minimum(random * share, reach) / reach
+        fit = np.flatnonzero(wrong <= rate)
         if len(fit):
             out[group] = int(fit[0])
     return out
@@ -232,7 +250,7 @@ def mask_secrets(docs: DataFrame, rate: float = 0.05, id_col: str = "doc_id",
         if not text:
             return text
         spans, found = _scan(text)
-        more = [(s, 3, e) for s, e, group, step, covered in found
+        more = [(s, 3, e) for s, e, group, step, covered, _ in found
                 if not covered and step >= cut.get(group, CUTS)]
         return _masked(text, spans + more) if spans or more else text
 

@@ -70,6 +70,32 @@ def test_findings_beyond_patterns_and_their_rate(documents):
     assert sum(found[i] for i, _ in plain) <= 20
 
 
+def test_copies_of_one_string_do_not_move_the_cut(documents):
+    rng = random.Random(8)
+    letters = secrets.ENCODINGS["base62"]
+    strings = ["".join(rng.choices(letters, k=44)) for _ in range(400)]
+    middling = next(x for x in strings[300:] if 0.4 < randomness(x)[1] < 0.49)
+    low = next(x for i in range(10000) if randomness(x := f"see9version{i:05}ofthethingversionofthethingAB")[1] < 0.01)
+    secret = list(enumerate(strings[:300]))
+
+    def found(*more):
+        rows = secret_report(documents(*secret, *more)).where("doc_id < 300").collect()
+        return {r.doc_id: r.spans for r in rows}
+    alone = found((1000, middling), (1001, low))
+    copied = found(*((1000 + i, middling) for i in range(600)), *((2000 + i, low) for i in range(600)))
+    assert alone == copied
+    assert sum(map(bool, alone.values())) > 270
+
+
+def test_groups_of_few_strings_have_a_cut(documents):
+    rng = random.Random(9)
+    # Lone strings of their encoding and length: one that all tests take for random, one that none does.
+    best = next(x for _ in range(1000) if randomness(
+        x := "".join(rng.choices(secrets.ENCODINGS["base62"], k=60)))[1] > 0.3)
+    rows = secret_report(documents((1, best), (2, "Ab1" * 20), (3, None), (4, ""))).orderBy("doc_id").collect()
+    assert [r.n_random for r in rows] == [1, 0, 0, 0]
+
+
 def test_masking_changes_secrets_only(odd_documents, documents):
     masked = mask_secrets(odd_documents)
     assert masked.columns == odd_documents.columns

@@ -72,3 +72,37 @@ def test_vocabulary_without_bytes_is_refused(monkeypatch):
     monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "is_byte", lambda self, i: False)
     with pytest.raises(ValueError):
         vocabulary(pieces.MODEL)
+
+
+def own_encoding(texts):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL).encode(texts, num_threads=1)
+
+
+def test_pieces_are_those_of_the_models_own_encoder(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").collect()
+    texts = [r.text for r in rows if MARK not in r.text]
+    assert len(texts) > 900 and encode_texts(texts, VOCAB) == own_encoding(texts)
+
+
+def test_own_encoder_on_any_text():
+    rng = random.Random(5)
+    bits = ["a", "b", "the", "ing", "  ", "    ", " ", "\n", "\t", "é", "😀", "日本", "1", "....", "==", "un", "Б", "\x00"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 60))) for _ in range(2000)]
+    texts += ["a" * 5000, " " * 3000, "ab" * 2000 + " end", "the quick brown fox", "日本語" * 500]
+    assert encode_texts(texts, VOCAB) == own_encoding(texts)
+
+
+def test_forgetting_pairs_changes_nothing(monkeypatch):
+    texts = ["the quick brown fox jumps over the lazy dog", "another unrelated sentence of ordinary words"]
+    whole = encode_texts(texts, VOCAB)
+    monkeypatch.setattr(pieces, "PAIRS_KEPT", 3)
+    assert encode_texts(texts, VOCAB) == whole
+
+
+def test_piece_found_though_its_last_letter_is_no_piece():
+    vocab = Vocabulary(of_byte=list(range(1000, 1256)))
+    for i, (piece, score) in enumerate([(MARK, -3.0), ("a", -4.0), ("ab", -3.5)]):
+        vocab.add(piece, i, score)
+    assert encoded_words([MARK + "ab"], vocab) == {MARK + "ab": [0, 2]}

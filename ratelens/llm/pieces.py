@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,8 @@ WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 BATCH_CHARS = 1 << 21           # texts whose words are sorted together
 WORST = 10.0                    # a byte piece is so much worse than the worst piece
 PAIRS_KEPT = 500_000            # pairs of neighbours that a task remembers
+WORDS_KEPT = 150_000            # encoded words that a task remembers, of
+LONGEST_KEPT = 40               # characters at most
 NEVER = float("inf")
 
 
@@ -248,10 +250,17 @@ def marked_words(text: str) -> list[str]:
 
 
 def encode_texts(every: list[str | None], vocab: Vocabulary,
-                 known: dict[object, dict[int, bool]] | None = None) -> list[list[int] | None]:
-    """Piece ids of each text; null stays null."""
+                 known: dict[object, dict[int, bool]] | None = None,
+                 seen: dict[str, list[int]] | None = None) -> list[list[int] | None]:
+    """Piece ids of each text; null stays null. ``seen`` remembers words for the next texts."""
+    seen = {} if seen is None else seen
     words = [marked_words(t) if t else [] for t in every]
-    ids = encoded_words({w for ws in words for w in ws}, vocab, known)
+    distinct = set(chain.from_iterable(words))
+    fresh = encoded_words(distinct - seen.keys(), vocab, known)
+    ids = {w: seen[w] for w in distinct & seen.keys()} | fresh
+    if len(seen) + len(fresh) > WORDS_KEPT:
+        seen.clear()
+    seen.update(islice(((w, i) for w, i in fresh.items() if len(w) <= LONGEST_KEPT), WORDS_KEPT))
     return [None if t is None else list(chain.from_iterable([ids[w] for w in ws]))
             for t, ws in zip(every, words)]
 
@@ -278,6 +287,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[object, dict[int, bool]] = {}
+        seen: dict[str, list[int]] = {}
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
             sizes = np.cumsum(sizes.to_numpy(zero_copy_only=False))
@@ -286,7 +296,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                 done = sizes[row - 1] if row else 0
                 after = max(row + 1, int(np.searchsorted(sizes, done + (batch_chars or BATCH_CHARS), "right")))
                 part = batch.slice(row, after - row)
-                ids = encode_texts(part.column("text").to_pylist(), vocab.value, known)
+                ids = encode_texts(part.column("text").to_pylist(), vocab.value, known, seen)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, "ids"])
                 row = after

@@ -106,3 +106,10 @@ def test_piece_found_though_its_last_letter_is_no_piece():
     for i, (piece, score) in enumerate([(MARK, -3.0), ("a", -4.0), ("ab", -3.5)]):
         vocab.add(piece, i, score)
     assert encoded_words([MARK + "ab"], vocab) == {MARK + "ab": [0, 2]}
+
+
+def test_remembered_words_change_nothing(monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS_KEPT", 6)
+    seen, texts = {}, ["the quick fox", "the lazy fox " + "x" * 100, "", "a b c d e f g h", "the quick fox"]
+    assert [encode_texts([t], VOCAB, {}, seen)[0] for t in texts] == own_encoding(texts)
+    assert len(seen) <= 6

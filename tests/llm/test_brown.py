@@ -109,3 +109,59 @@ def test_words_with_ends(size):
     lengths = np.array([size // 2, 0, size - size // 2])
     out = brown._with_ends(values, lengths, -1)
     assert out[out >= 0].tolist() == values.tolist() and np.flatnonzero(out < 0).tolist() == brown._ends(lengths).tolist()
+
+
+def test_words_move_to_the_best_class_by_themselves():
+    rng = np.random.default_rng(2)
+    text = np.append(rng.integers(0, 40, 3000) * rng.integers(0, 2, 3000), 40)     # 40 is the end
+    k = 5
+    of = np.append(rng.integers(0, k, 40), k)
+    before = np.concatenate([[40], text[:-1]])
+
+    def counted(of):
+        count = np.zeros((k + 1, k + 1))
+        np.add.at(count, (of[before], of[text]), 1)
+        return count
+
+    def likelihood(word, c):
+        changed = of.copy()
+        changed[word] = c
+        count = counted(changed)
+        return brown._h(count).sum() - brown._h(count.sum(0)).sum() - brown._h(count.sum(1)).sum()
+    around = np.zeros((40, 2 * k + 3))
+    for a, b in zip(before, text):
+        if a == b:
+            around[b, -1] += 1
+            continue
+        if b < 40:
+            around[b, of[a]] += 1
+        if a < 40:
+            around[a, k + 1 + of[b]] += 1
+    values = np.array([[likelihood(w, c) for c in range(k)] for w in range(40)])
+    got = brown.moved(counted(of), of[:40], around)
+    assert np.allclose(values[np.arange(40), got], values.max(axis=1), rtol=1e-9) and (got != of[:40]).any()
+    # A word that was not counted stays.
+    assert brown.moved(counted(of), of[:3], np.zeros((3, 2 * k + 3))).tolist() == of[:3].tolist()
+
+
+def test_rare_words_of_one_ending_are_told_apart_by_their_neighbours(documents, monkeypatch):
+    monkeypatch.setattr(brown, "UNIT_SHARE", 0.05)
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", 100)
+    learn = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    right, wrong = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows = [(d, f"le a{i % 60}x da lo b{i % 60}x du" if i % 2 else "le aax da lo bbx du")
+            for i, d in enumerate(learn[:300])]
+    asked = [(right, "le a7x da lo b9x du"), (wrong, "le b9x da lo a7x du")]
+    for parts in (1, 9):
+        got = {r.doc_id: r for r in scores(documents(*rows, *asked).repartition(parts, "doc_id")).collect()}
+        # The same words: counts and endings cannot tell the two texts apart, only the words' own neighbours.
+        assert math.isclose(got[right].base_score, got[wrong].base_score)
+        assert got[right].score > got[wrong].score + 2
+
+
+def test_words_with_many_tokens_in_one_block(documents, monkeypatch):
+    monkeypatch.setattr(brown, "UNIT_SHARE", 2.0)       # so that no word is a unit by itself
+    rows = [(d, "a b " * 400 + "c c c") for d in range(20)]
+    got = scores(documents(*rows).coalesce(1)).collect()
+    same(got, brute(rows))
+    assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
